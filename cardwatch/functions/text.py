@@ -29,7 +29,7 @@ def parse_amount(col) -> Column:
 def date_from_file_name(name) -> Column:
     """Batch date encoded in a feed file name; NULL when absent or invalid."""
     digits = F.regexp_extract(_c(name), FILE_DATE_PATTERN, 1)
-    return F.when(digits != "", F.try_to_date(digits, F.lit(FILE_DATE_FORMAT)))
+    return F.when(digits != "", F.try_to_date(digits, FILE_DATE_FORMAT))
 
 
 def feed_of_file_name(name) -> Column:
@@ -43,4 +43,4 @@ def feed_of_file_name(name) -> Column:
 
 def date_text_before_blank(col) -> Column:
     """Date part of a 'YYYY-MM-DD hh:mm:ss' text (the part before the first blank)."""
-    return F.try_to_date(F.substring_index(F.trim(_c(col)), " ", 1), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring_index(F.trim(_c(col)), " ", 1), "yyyy-MM-dd")

@@ -163,6 +163,7 @@ FROM (SELECT *, lag(terminal_city) OVER w AS prev_city, lag(transe_date) OVER w
       FROM s1_{_sfx} WINDOW w AS (PARTITION BY run_date, card_num ORDER BY transe_date, trans_id, terminal_city))
 WHERE prev_city <> terminal_city AND epoch(transe_date) - epoch(prev_transe_date) <= 3600""")
 
+cte("s1tx", ("wd", "runs"), f"SELECT r.run_date, x.* FROM wd x {_slice_join('x', CUT_1H_S)}")
 cte("s2", ("wd", "runs"), f"SELECT r.run_date, x.* FROM wd x {_slice_join('x', CUT_20M_S)}")
 cte("s2_lags", ("s2",), """
 SELECT *, lag(oper_result, 1) OVER w AS r1, lag(oper_result, 2) OVER w AS r2, lag(oper_result, 3) OVER w AS r3,
@@ -251,12 +252,12 @@ FROM tx GROUP BY file_date"""),
 SELECT t.trans_id, t.card_num, ch.client_id, ch.passport_num, ch.fio,
        (SELECT min(entry_dt) FROM bl_table b WHERE b.passport_num = ch.passport_num) AS bl_entry_dt
 FROM tx t JOIN chain ch ON t.card_num = ch.card_num"""),
-    "terminal_join_all": (("tx", "hist"), """
-SELECT t.trans_id, t.card_num, t.transe_date, t.terminal, h.terminal_city, h.effective_from
-FROM tx t JOIN hist h ON t.terminal = h.terminal_id"""),
-    "terminal_join_asof": (("tx", "hist"), """
-SELECT t.trans_id, t.card_num, t.transe_date, t.terminal, h.terminal_city, h.effective_from
-FROM tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
+    "terminal_join_all": (("s1tx", "hist"), """
+SELECT t.run_date, t.trans_id, t.card_num, t.transe_date, t.terminal, h.terminal_city, h.effective_from
+FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id"""),
+    "terminal_join_asof": (("s1tx", "hist"), """
+SELECT t.run_date, t.trans_id, t.card_num, t.transe_date, t.terminal, h.terminal_city, h.effective_from
+FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
  AND h.effective_from <= CAST(t.transe_date AS DATE) AND CAST(t.transe_date AS DATE) <= CAST(h.effective_to AS DATE)"""),
     "lookback_1h": (("tx", "runs"), f"SELECT r.run_date, {', '.join('x.' + c for c in FACT_COLS.split(', '))} "
                                     f"FROM tx x {_slice_join('x', CUT_1H_S)} WHERE x.opertype = 'WITHDRAW'"),

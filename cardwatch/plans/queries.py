@@ -152,9 +152,10 @@ def client_chain(x: Inputs) -> DataFrame:
 
 
 def _terminal_join(x: Inputs, asof: bool) -> DataFrame:
-    t = x.tx.select("trans_id", "card_num", "transe_date", "terminal")
+    """The 1-hour slice joined to terminal versions (as the city rule sees it)."""
+    t = _slice(x, x.cfg.city_cut_s).select("run_date", "trans_id", "card_num", "transe_date", "terminal")
     j = rules.with_terminal(t, x.hist, asof, x.cfg)
-    return j.select("trans_id", "card_num", "transe_date", "terminal", "terminal_city", "effective_from")
+    return j.select("run_date", "trans_id", "card_num", "transe_date", "terminal", "terminal_city", "effective_from")
 
 
 @query
