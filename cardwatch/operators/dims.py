@@ -6,28 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.text import fio
-from cardwatch.operators.joins import dim_join
 
 CHAIN_COLS = ["card_num", "account", "valid_to", "client_id", "passport_num",
               "passport_valid_to", "fio", "phone"]
 
 
-def card_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-               max_rows: int | None = 5_000_000) -> DataFrame:
+def card_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
     """One row per card with its account and client attributes (inner joins).
 
-    Dimension-to-dimension joins on unique keys: no skew, sizes of the same
-    order, so the smaller sides are broadcast only when checked small.
+    Dimension-to-dimension joins on unique keys: no skew and sizes of the
+    same order, so no hint; AQE turns them into broadcast joins when the
+    measured shuffle output is small.
     """
     acc = accounts.select("account", "valid_to", "client")
     cli = clients.select("client_id", "passport_num", "passport_valid_to", "phone",
                          fio("last_name", "first_name", "patronymic").alias("fio"))
-    chain = dim_join(cards.select("card_num", "account"), acc, "account", max_rows=max_rows)
-    chain = dim_join(chain, cli, F.col("client") == F.col("client_id"), max_rows=max_rows)
+    chain = cards.select("card_num", "account").join(acc, "account")
+    chain = chain.join(cli, F.col("client") == F.col("client_id"))
     return chain.select(*CHAIN_COLS)
 
 
-def with_blacklist(chain: DataFrame, blacklist: DataFrame, max_rows: int | None = 5_000_000) -> DataFrame:
+def with_blacklist(chain: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Add ``bl_entry_dt``: the first day a card's passport is on the list.
 
     ``passport IN (list WHERE entry_dt <= D)`` is the same as
@@ -36,4 +35,4 @@ def with_blacklist(chain: DataFrame, blacklist: DataFrame, max_rows: int | None
     """
     first = (blacklist.filter(F.col("passport_num").isNotNull())
              .groupBy("passport_num").agg(F.min("entry_dt").alias("bl_entry_dt")))
-    return dim_join(chain, first, "passport_num", "left", max_rows=max_rows)
+    return chain.join(first, "passport_num", "left")

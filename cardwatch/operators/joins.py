@@ -2,37 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows, so the check stays cheap on a large
-    input. Use it on dimension-sized inputs only.
+    Counts at most ``max_rows + 1`` rows. Call it on a cheap frame that
+    bounds the side to broadcast (a base table scan), not on a derived plan.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *,
-             max_rows: int | None, size_probe: DataFrame | None = None) -> DataFrame:
-    """Join a fact to a dimension; broadcast the dimension only if it is small.
+class BroadcastCheck:
+    """Decide once whether a dimension may be broadcast, from a bounding frame.
 
-    ``size_probe`` may be a cheaper frame whose row count bounds ``dim`` (for
-    example the base table of a chain of inner joins on unique keys). Beyond
-    the bound the join is a shuffle join; AQE's skew handling then splits a
-    hot key of the fact side across tasks.
+    ``bound`` is a frame whose row count times ``factor`` bounds the
+    dimension (e.g. cards bound the card chain, factor 1; snapshot rows bound
+    the terminal history, factor 2). Beyond ``max_rows`` the join stays a
+    shuffle join, where AQE's skew handling splits a hot key of the fact side.
     """
-    if max_rows is not None and fits_broadcast(size_probe if size_probe is not None else dim, max_rows):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
+
+    def __init__(self, bound: DataFrame, max_rows: int | None, factor: int = 1):
+        self._bound, self._max, self._factor = bound, max_rows, factor
+        self._ok: bool | None = None
+
+    @property
+    def ok(self) -> bool:
+        if self._ok is None:
+            self._ok = self._max is not None and fits_broadcast(self._bound, self._max // self._factor)
+        return self._ok
+
+
+def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *,
+             check: BroadcastCheck | bool | None = None) -> DataFrame:
+    """Join a fact to a dimension; broadcast the dimension only if the check passed."""
+    ok = check.ok if isinstance(check, BroadcastCheck) else bool(check)
+    return fact.join(F.broadcast(dim) if ok else dim, on, how)
 
 
 def small_join(df: DataFrame, bounded: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with a side bounded by construction (calendar days, 25 nations)."""
     return df.join(F.broadcast(bounded), on, how)
-
-
-def col_eq(a: str, b: str) -> Column:
-    return F.col(a) == F.col(b)

@@ -23,7 +23,7 @@ from cardwatch.config import (
     RESULT_SUCCESS, RuleConfig, Semantics,
 )
 from cardwatch.functions.timefn import seconds_between
-from cardwatch.operators.joins import dim_join
+from cardwatch.operators.joins import BroadcastCheck, dim_join
 from cardwatch.operators.lookback import expand_runs, runs_covering
 from cardwatch.operators.timeline import bounded_lags
 from cardwatch.schemas import ALERT_COLS
@@ -49,11 +49,10 @@ def listed_passport(bl_entry_dt: Column, batch_day: Column) -> Column:
     return F.coalesce(bl_entry_dt <= batch_day, F.lit(False))
 
 
-def batch_joined(tx: DataFrame, chain_bl: DataFrame, cfg: RuleConfig,
-                 size_probe: DataFrame | None = None) -> DataFrame:
+def batch_joined(tx: DataFrame, chain_bl: DataFrame, chain_check: BroadcastCheck | bool | None = None) -> DataFrame:
     """Operations of every batch joined to the card chain (one join for rules 1 and 2)."""
     t = tx.select("trans_id", "card_num", "transe_date", "file_date")
-    return dim_join(t, chain_bl, "card_num", max_rows=cfg.broadcast_max_rows, size_probe=size_probe)
+    return dim_join(t, chain_bl, "card_num", check=chain_check)
 
 
 def passport_hits(joined: DataFrame) -> Column:
@@ -87,7 +86,8 @@ def passport_contract_alerts(joined: DataFrame, report_dt=None) -> DataFrame:
 
 # ---------------------------------------------------------------- terminals
 
-def with_terminal(tx: DataFrame, hist: DataFrame, asof: bool, cfg: RuleConfig) -> DataFrame:
+def with_terminal(tx: DataFrame, hist: DataFrame, asof: bool,
+                  hist_check: BroadcastCheck | bool | None = None) -> DataFrame:
     """Join operations to terminal versions.
 
     ``asof``: the non-deleted version valid on the operation's day (an
@@ -103,7 +103,7 @@ def with_terminal(tx: DataFrame, hist: DataFrame, asof: bool, cfg: RuleConfig) -
                 & (F.to_date("transe_date") <= F.col("_to_day")))
     else:
         cond = F.col("terminal") == F.col("terminal_id")
-    j = dim_join(tx, h, cond, max_rows=cfg.broadcast_max_rows)
+    j = dim_join(tx, h, cond, check=hist_check)
     return j.drop("terminal_id", "_to_day", "deleted_flg")
 
 
@@ -115,14 +115,14 @@ def _withdrawals(tx: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- rule 3
 
 def city_first_visits(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfig,
-                      asof: bool | None = None) -> DataFrame:
+                      asof: bool | None = None, hist_check=None) -> DataFrame:
     """Per run, card and city the first operation time in the 1-hour slice.
 
     The grouping pre-aggregates map-side, so a hot card shrinks to one row
     per city before any shuffle.
     """
     asof = (cfg.semantics == Semantics.INTENDED) if asof is None else asof
-    j = with_terminal(_withdrawals(tx), hist, asof, cfg)
+    j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
     x = expand_runs(j, runs, cfg.city_cut_s)
     return x.groupBy("run_date", "card_num", "terminal_city").agg(F.min("transe_date").alias("transe_date"))
 
@@ -136,12 +136,12 @@ def city_running_count(first_visits: DataFrame) -> DataFrame:
 
 
 def city_hop_rep(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfig,
-                 asof: bool | None = None) -> DataFrame:
+                 asof: bool | None = None, hist_check=None) -> DataFrame:
     """Rule 3, representative form: consecutive first visits of two cities within the gap.
 
     The per-card window runs over at most one row per city and run.
     """
-    fv = city_first_visits(tx, hist, runs, cfg, asof)
+    fv = city_first_visits(tx, hist, runs, cfg, asof, hist_check)
     w = Window.partitionBy("run_date", "card_num").orderBy("transe_date", "terminal_city")
     x = city_running_count(fv).withColumn("prev_transe_date", F.lag("transe_date").over(w))
     x = x.withColumn("gap_s", seconds_between("transe_date", "prev_transe_date"))
@@ -150,10 +150,10 @@ def city_hop_rep(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfi
 
 
 def city_hop_pair(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfig,
-                  asof: bool | None = None) -> DataFrame:
+                  asof: bool | None = None, hist_check=None) -> DataFrame:
     """Rule 3, pair form: an operation in another city than the card's previous one within the gap."""
     asof = (cfg.semantics == Semantics.INTENDED) if asof is None else asof
-    j = with_terminal(_withdrawals(tx), hist, asof, cfg)
+    j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
     x = bounded_lags(j, ["card_num"], ["transe_date", "trans_id", "terminal_city"], "transe_date",
                      cfg.city_max_gap_s, cfg.city_bucket_s,
                      {"prev_city": ("terminal_city", 1), "prev_transe_date": ("transe_date", 1)})
@@ -164,8 +164,8 @@ def city_hop_pair(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConf
                     "prev_transe_date", "gap_s")
 
 
-def city_alerts(hops: DataFrame, chain: DataFrame, cfg: RuleConfig, report_dt=None) -> DataFrame:
-    j = dim_join(hops, chain, "card_num", max_rows=cfg.broadcast_max_rows)
+def city_alerts(hops: DataFrame, chain: DataFrame, chain_check=None, report_dt=None) -> DataFrame:
+    j = dim_join(hops, chain, "card_num", check=chain_check)
     return alert_rows(j, F.to_date("transe_date"), EVENT_CITY, report_dt)
 
 
@@ -216,8 +216,8 @@ def amount_guess(tx: DataFrame, runs: DataFrame, cfg: RuleConfig, amount_mode: s
                     F.col("_t_first").alias("first_reject_date"))
 
 
-def amount_alerts(hits: DataFrame, chain: DataFrame, cfg: RuleConfig, report_dt=None) -> DataFrame:
-    j = dim_join(hits, chain, "card_num", max_rows=cfg.broadcast_max_rows)
+def amount_alerts(hits: DataFrame, chain: DataFrame, chain_check=None, report_dt=None) -> DataFrame:
+    j = dim_join(hits, chain, "card_num", check=chain_check)
     return alert_rows(j, F.to_date("transe_date"), EVENT_AMOUNT, report_dt)
 
 

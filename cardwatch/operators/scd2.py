@@ -62,12 +62,12 @@ def _presence(snapshots: DataFrame, key: str, attrs: Sequence[str], date_col: st
         s = s.filter(F.col(key).isNotNull())
     s = small_join(s, snapshot_days(snapshots, date_col), "_day")
     w = Window.partitionBy(key).orderBy("_day")
-    s = (s.withColumn("_prev_day", F.lag("_day").over(w))
-          .withColumn("_prev_next_snap", F.lag("_next_snap").over(w))
-          .withColumn("_next_day", F.lead("_day").over(w)))
-    for a in attrs:
-        s = s.withColumn(f"_prev_{a}", F.lag(a).over(w))
-    return s
+    return s.withColumns({
+        "_prev_day": F.lag("_day").over(w),
+        "_prev_next_snap": F.lag("_next_snap").over(w),
+        "_next_day": F.lead("_day").over(w),
+        **{f"_prev_{a}": F.lag(a).over(w) for a in attrs},
+    })
 
 
 def change_events(snapshots: DataFrame, key: str, attrs: Sequence[str], date_col: str = "snap_date",
@@ -75,7 +75,10 @@ def change_events(snapshots: DataFrame, key: str, attrs: Sequence[str], date_col
     """Per key and day, the change the merge of that day applies.
 
     Columns: change_date, key, attrs, change in (new, returned, updated, deleted).
-    Deleted rows carry the last attributes seen.
+    Deleted rows carry the last attributes seen. One presence row yields at
+    most two events (a version start on its day, a tombstone on the next
+    snapshot day); both come out of one ``explode`` so the key partitioning
+    of the presence window carries over to the history window.
     """
     s = _presence(snapshots, key, attrs, date_col, semantics)
     first = F.col("_prev_day").isNull()
@@ -83,13 +86,13 @@ def change_events(snapshots: DataFrame, key: str, attrs: Sequence[str], date_col
     changed = _changed([F.col(a) for a in attrs], [F.col(f"_prev_{a}") for a in attrs], semantics)
     updated = ~first & ~returned & changed
     kind = F.when(first, NEW).when(returned, RETURNED).when(updated, UPDATED)
-    starts = s.select(F.col("_day").alias("change_date"), key, *attrs, kind.alias("change"))
-    starts = starts.filter(F.col("change").isNotNull())
     gone = F.col("_next_snap").isNotNull() & (
         F.col("_next_day").isNull() | (F.col("_next_day") != F.col("_next_snap")))
-    tombs = s.filter(gone).select(F.col("_next_snap").alias("change_date"), key, *attrs,
-                                  F.lit(DELETED).alias("change"))
-    return starts.unionByName(tombs)
+    ev = F.array_compact(F.array(
+        F.when(kind.isNotNull(), F.struct(F.col("_day").alias("d"), kind.alias("c"))),
+        F.when(gone, F.struct(F.col("_next_snap").alias("d"), F.lit(DELETED).alias("c")))))
+    x = s.select(key, *attrs, F.explode(ev).alias("_ev"))
+    return x.select(F.col("_ev.d").alias("change_date"), key, *attrs, F.col("_ev.c").alias("change"))
 
 
 def history_from_events(events: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:

@@ -38,6 +38,5 @@ def bounded_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_co
     x = (df.withColumn("_home", home)
            .withColumn("_bucket", F.explode(buckets)))
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    for name, (c, n) in lags.items():
-        x = x.withColumn(name, F.lag(c, n).over(w))
+    x = x.withColumns({name: F.lag(c, n).over(w) for name, (c, n) in lags.items()})
     return x.filter(F.col("_bucket") == F.col("_home")).drop("_bucket", "_home")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from cardwatch.config import DEFAULT, FIXED_REPORT_DT, RuleConfig
 from cardwatch.operators import blacklist, dims, lookback, scd2
+from cardwatch.operators.joins import BroadcastCheck
 from cardwatch.schemas import TERMINAL_ATTRS
 from cardwatch.sources import fixtures
+from cardwatch.sources.fixtures import read_table
 
 
 class Inputs:
@@ -50,7 +52,7 @@ class Inputs:
 
     @cached_property
     def chain(self) -> DataFrame:
-        return dims.card_chain(self.cards, self.accounts, self.clients, self.cfg.broadcast_max_rows)
+        return dims.card_chain(self.cards, self.accounts, self.clients)
 
     @cached_property
     def bl_new(self) -> DataFrame:
@@ -62,7 +64,7 @@ class Inputs:
 
     @cached_property
     def chain_bl(self) -> DataFrame:
-        return dims.with_blacklist(self.chain, self.bl_table, self.cfg.broadcast_max_rows)
+        return dims.with_blacklist(self.chain, self.bl_table)
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -72,13 +74,20 @@ class Inputs:
     def hist(self) -> DataFrame:
         return scd2.history_from_events(self.changes, "terminal_id", TERMINAL_ATTRS)
 
-    def cards_probe(self) -> DataFrame:
-        """Row count of ``cards`` bounds the card chain (inner joins on unique keys)."""
-        return self.cards.select("card_num")
+    @cached_property
+    def chain_check(self) -> BroadcastCheck:
+        """Cards bound the card chain (inner joins on unique keys)."""
+        return BroadcastCheck(read_table(self.spark, self.sf_dir, "customer").select("c_custkey"),
+                              self.cfg.broadcast_max_rows)
+
+    @cached_property
+    def hist_check(self) -> BroadcastCheck:
+        """Each snapshot row opens at most one version and one tombstone."""
+        return BroadcastCheck(self.snap.select("terminal_id"), self.cfg.broadcast_max_rows, factor=2)
 
     def batch_joined(self) -> DataFrame:
         from cardwatch.operators import rules
-        return rules.batch_joined(self.tx, self.chain_bl, self.cfg, size_probe=self.cards_probe())
+        return rules.batch_joined(self.tx, self.chain_bl, self.chain_check)
 
 
 def lit_date(d) -> F.Column:

@@ -154,7 +154,7 @@ def client_chain(x: Inputs) -> DataFrame:
 def _terminal_join(x: Inputs, asof: bool) -> DataFrame:
     """The 1-hour slice joined to terminal versions (as the city rule sees it)."""
     t = _slice(x, x.cfg.city_cut_s).select("run_date", "trans_id", "card_num", "transe_date", "terminal")
-    j = rules.with_terminal(t, x.hist, asof, x.cfg)
+    j = rules.with_terminal(t, x.hist, asof, x.hist_check)
     return j.select("run_date", "trans_id", "card_num", "transe_date", "terminal", "terminal_city", "effective_from")
 
 
@@ -243,32 +243,32 @@ def scd2_asof(x: Inputs) -> DataFrame:
 
 @query
 def city_first_visit(x: Inputs) -> DataFrame:
-    return rules.city_first_visits(x.tx, x.hist, x.runs, x.cfg, asof=True)
+    return rules.city_first_visits(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
 
 
 @query
 def city_running_count(x: Inputs) -> DataFrame:
-    return rules.city_running_count(rules.city_first_visits(x.tx, x.hist, x.runs, x.cfg, asof=True))
+    return rules.city_running_count(rules.city_first_visits(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check))
 
 
 @query
 def city_hop_rep(x: Inputs) -> DataFrame:
-    return rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, asof=True)
+    return rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
 
 
 @query
 def city_hop_rep_all(x: Inputs) -> DataFrame:
-    return rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, asof=False)
+    return rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, False, x.hist_check)
 
 
 @query
 def city_hop_pair(x: Inputs) -> DataFrame:
-    return rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, asof=True)
+    return rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
 
 
 @query
 def city_hop_pair_all(x: Inputs) -> DataFrame:
-    return rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, asof=False)
+    return rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, False, x.hist_check)
 
 
 @query
@@ -300,15 +300,15 @@ def fraud_contract(x: Inputs) -> DataFrame:
 
 def _city(x: Inputs, parity: bool) -> DataFrame:
     if parity:
-        hops = rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, asof=False)
+        hops = rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, False, x.hist_check)
     else:
-        hops = rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, asof=True)
-    return rules.city_alerts(hops, x.chain, x.cfg, x.cfg.report_dt)
+        hops = rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
+    return rules.city_alerts(hops, x.chain, x.chain_check, x.cfg.report_dt)
 
 
 def _amount(x: Inputs, parity: bool) -> DataFrame:
     hits = rules.amount_guess(x.tx, x.runs, x.cfg, "literal" if parity else "decreasing")
-    return rules.amount_alerts(hits, x.chain, x.cfg, x.cfg.report_dt)
+    return rules.amount_alerts(hits, x.chain, x.chain_check, x.cfg.report_dt)
 
 
 @query

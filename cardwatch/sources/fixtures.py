@@ -23,8 +23,16 @@ N_CITIES = 25
 REJECT_EVENT_TYPES = ("error", "click", "view")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table; the relation is resolved once per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (id(spark), path)
+    if k not in _READS:
+        _READS[k] = spark.read.parquet(path)
+    return _READS[k]
 
 
 def _day0() -> F.Column:
