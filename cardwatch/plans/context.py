@@ -18,10 +18,20 @@ from cardwatch.sources.fixtures import read_table
 class Inputs:
     """Warehouse-shaped inputs projected from the test tables (all lazy)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, cfg: RuleConfig = DEFAULT):
         self.spark, self.sf_dir = spark, sf_dir
         self.cfg = cfg.with_(report_dt=cfg.report_dt or FIXED_REPORT_DT)
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, cfg: RuleConfig = DEFAULT, **frames: DataFrame) -> "Inputs":
+        """Inputs given as DataFrames: tx, cards, accounts, clients, bl_feed, snap (and hist)."""
+        x = cls(spark, None, cfg)
+        for k, v in frames.items():
+            x.__dict__[k] = v  # pre-fills the cached properties
+        if "cards" in frames and "chain_check" not in frames:
+            x.__dict__["chain_check"] = BroadcastCheck(frames["cards"].select("card_num"), cfg.broadcast_max_rows)
+        return x
+
     @cached_property
     def tx(self) -> DataFrame:
         return fixtures.tx(self.spark, self.sf_dir)

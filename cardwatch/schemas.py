@@ -56,6 +56,7 @@ ALERTS = T.StructType([
     T.StructField("phone", S), T.StructField("event_type", S), T.StructField("report_dt", D),
 ])
 ALERT_COLS = [f.name for f in ALERTS.fields]
+ALERTS_RUN = T.StructType([*ALERTS.fields, T.StructField("run_date", D)])
 
 AUDIT = T.StructType([
     T.StructField("upload_dt", D), T.StructField("table_name", S),
