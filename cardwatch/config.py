@@ -66,8 +66,9 @@ class RuleConfig:
     # also receives a halo of the rule's lookback span from the bucket before.
     city_bucket_s: int = 4 * 3600
     amount_bucket_s: int = 4 * 1200
-    # Rows below which a dimension side is broadcast (checked by count).
-    broadcast_max_rows: int = 5_000_000
+    # Rows up to which a dimension side is broadcast (checked by count on a
+    # bounding base table). A card-chain row is ~150 bytes: 1M rows ~ 150 MB.
+    broadcast_max_rows: int = 1_000_000
 
     @property
     def city_cut_s(self) -> int:

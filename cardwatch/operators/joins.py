@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows. Call it on a cheap frame that
-    bounds the side to broadcast (a base table scan), not on a derived plan.
+    Call it on a frame that bounds the side to broadcast and is cheap to
+    count - a base table scan, where a Parquet count reads row-group
+    metadata only - never on a derived plan.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 class BroadcastCheck:

@@ -59,7 +59,9 @@ def _presence(snapshots: DataFrame, key: str, attrs: Sequence[str], date_col: st
               semantics: Semantics) -> DataFrame:
     s = snapshots.select(key, *attrs, F.col(date_col).alias("_day"))
     if semantics == Semantics.INTENDED:
-        s = s.filter(F.col(key).isNotNull())
+        # exact copies of a row carry nothing for the history; collapsing them is a
+        # partial aggregation, so a key copied many times never reaches one window task whole
+        s = s.filter(F.col(key).isNotNull()).dropDuplicates([key, "_day", *attrs])
     s = small_join(s, snapshot_days(snapshots, date_col), "_day")
     w = Window.partitionBy(key).orderBy("_day")
     return s.withColumns({
