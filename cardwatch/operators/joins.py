@@ -16,6 +16,22 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+_ROW_COUNTS: dict[tuple, int] = {}
+
+
+def table_rows(df: DataFrame, stats_key: tuple | None = None) -> int:
+    """Row count of a base table, kept per ``stats_key`` like catalog statistics.
+
+    Only for inputs that do not change within the session (a table path);
+    without a key the count always runs.
+    """
+    if stats_key is None:
+        return df.count()
+    if stats_key not in _ROW_COUNTS:
+        _ROW_COUNTS[stats_key] = df.count()
+    return _ROW_COUNTS[stats_key]
+
+
 class BroadcastCheck:
     """Decide once whether a dimension may be broadcast, from a bounding frame.
 
@@ -25,14 +41,15 @@ class BroadcastCheck:
     shuffle join, where AQE's skew handling splits a hot key of the fact side.
     """
 
-    def __init__(self, bound: DataFrame, max_rows: int | None, factor: int = 1):
-        self._bound, self._max, self._factor = bound, max_rows, factor
+    def __init__(self, bound: DataFrame, max_rows: int | None, factor: int = 1, stats_key: tuple | None = None):
+        self._bound, self._max, self._factor, self._key = bound, max_rows, factor, stats_key
         self._ok: bool | None = None
 
     @property
     def ok(self) -> bool:
         if self._ok is None:
-            self._ok = self._max is not None and fits_broadcast(self._bound, self._max // self._factor)
+            self._ok = self._max is not None and \
+                table_rows(self._bound, self._key) * self._factor <= self._max
         return self._ok
 
 

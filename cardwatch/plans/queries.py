@@ -298,17 +298,17 @@ def fraud_contract(x: Inputs) -> DataFrame:
     return rules.contract_alerts(x.batch_joined(), x.cfg.report_dt)
 
 
-def _city(x: Inputs, parity: bool) -> DataFrame:
+def _city(x: Inputs, parity: bool, chain: DataFrame | None = None) -> DataFrame:
     if parity:
         hops = rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, False, x.hist_check)
     else:
         hops = rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
-    return rules.city_alerts(hops, x.chain, x.chain_check, x.cfg.report_dt)
+    return rules.city_alerts(hops, x.chain if chain is None else chain, x.chain_check, x.cfg.report_dt)
 
 
-def _amount(x: Inputs, parity: bool) -> DataFrame:
+def _amount(x: Inputs, parity: bool, chain: DataFrame | None = None) -> DataFrame:
     hits = rules.amount_guess(x.tx, x.runs, x.cfg, "literal" if parity else "decreasing")
-    return rules.amount_alerts(hits, x.chain, x.chain_check, x.cfg.report_dt)
+    return rules.amount_alerts(hits, x.chain if chain is None else chain, x.chain_check, x.cfg.report_dt)
 
 
 @query
@@ -336,8 +336,9 @@ def fraud_amount_parity(x: Inputs) -> DataFrame:
 # ------------------------------------------------------------------ output
 
 def full_report(x: Inputs, parity: bool = False) -> DataFrame:
+    """All rules; the four joins to the card chain share one (broadcast) chain plan."""
     pc = rules.passport_contract_alerts(x.batch_joined(), x.cfg.report_dt)
-    return report.build(pc, _city(x, parity), _amount(x, parity))
+    return report.build(pc, _city(x, parity, x.chain_bl), _amount(x, parity, x.chain_bl))
 
 
 @query
