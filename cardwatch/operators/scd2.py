@@ -167,24 +167,24 @@ def merge_day(history: DataFrame, snapshot: DataFrame, day, key: str, attrs: Seq
              .when(in_s & in_h & (flg == 0) & changed, UPDATED))
     j = j.withColumn("_kind", kind)
     k = F.col("_kind")
-    # 1) open rows that stay open
-    keep = j.filter(in_h & (k.isNull() | ~k.isin(RETURNED, DELETED, UPDATED))).select(
-        F.col("_h_key").alias(key), *[F.col(f"_h_{a}").alias(a) for a in attrs],
-        F.col("_h_from").alias("effective_from"), sentinel_ts().alias("effective_to"),
-        F.col("_h_flg").alias("deleted_flg"))
-    # 2) open rows closed today at D-1
-    closing = j.filter(k.isin(RETURNED, DELETED, UPDATED)).select(
-        F.col("_h_key").alias(key), *[F.col(f"_h_{a}").alias(a) for a in attrs],
-        F.col("_h_from").alias("effective_from"), _close(d).alias("effective_to"),
-        F.col("_h_flg").alias("deleted_flg"))
-    # 3) rows opened today
     from_s = k.isin(NEW, RETURNED, UPDATED)
-    opened = j.filter(k.isNotNull()).select(
-        F.when(from_s, F.col("_s_key")).otherwise(F.col("_h_key")).alias(key),
-        *[F.when(from_s, F.col(f"_s_{a}")).otherwise(F.col(f"_h_{a}")).alias(a) for a in attrs],
-        d.alias("effective_from"), sentinel_ts().alias("effective_to"),
-        F.when(k == DELETED, 1).otherwise(0).alias("deleted_flg"))
-    new_history = closed.unionByName(keep).unionByName(closing).unionByName(opened)
+    closes = k.isin(RETURNED, DELETED, UPDATED)
+
+    def row(key_c, attr_cs, frm, to, flg):
+        return F.struct(key_c.alias(key), *[c.alias(a) for c, a in zip(attr_cs, attrs)],
+                        frm.alias("effective_from"), to.alias("effective_to"), flg.alias("deleted_flg"))
+
+    h_attrs = [F.col(f"_h_{a}") for a in attrs]
+    # the open row before today: kept open, or closed at D-1
+    old = F.when(in_h, row(F.col("_h_key"), h_attrs, F.col("_h_from"),
+                           F.when(closes, _close(d)).otherwise(sentinel_ts()), F.col("_h_flg")))
+    # the row opened today: a version from the snapshot, or a tombstone with the last attributes
+    new = F.when(k.isNotNull(), row(
+        F.when(from_s, F.col("_s_key")).otherwise(F.col("_h_key")),
+        [F.when(from_s, F.col(f"_s_{a}")).otherwise(F.col(f"_h_{a}")) for a in attrs],
+        d, sentinel_ts(), F.when(k == DELETED, 1).otherwise(0)))
+    rows = j.select(F.explode(F.array_compact(F.array(old, new))).alias("_r")).select("_r.*")
+    new_history = closed.unionByName(rows)
     changes = j.filter(k.isNotNull()).select(
         d.alias("change_date"),
         F.when(from_s, F.col("_s_key")).otherwise(F.col("_h_key")).alias(key),
@@ -194,7 +194,7 @@ def merge_day(history: DataFrame, snapshot: DataFrame, day, key: str, attrs: Seq
 
 
 def fold(spark, snapshots: DataFrame, key: str, attrs: Sequence[str], date_col: str = "snap_date",
-         semantics: Semantics = Semantics.INTENDED, checkpoint_every: int = 5,
+         semantics: Semantics = Semantics.INTENDED, checkpoint_every: int = 1,
          days: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
     """Replay ``merge_day`` over the snapshot days in date order.
 
@@ -209,8 +209,11 @@ def fold(spark, snapshots: DataFrame, key: str, attrs: Sequence[str], date_col:
         snap = snapshots.filter(F.col(date_col) == F.lit(d))
         hist, ch = merge_day(hist, snap, d, key, attrs, semantics)
         if (i + 1) % checkpoint_every == 0:
+            # each day's history reads the previous one twice (closed part, open join):
+            # without a cut the plan doubles per day
             hist = hist.checkpoint()
-        changes.append(ch.checkpoint() if (i + 1) % checkpoint_every == 0 else ch)
+            ch = ch.checkpoint()
+        changes.append(ch)
     allch = reduce(DataFrame.unionByName, changes) if changes else None
     return hist, allch
 

@@ -266,6 +266,7 @@ FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
     "blacklist_new": (("bl_new",), "SELECT passport_num, file_date FROM bl_new"),
     "blacklist_table": (("bl_table",), "SELECT passport_num, entry_dt, source_entry_dt FROM bl_table"),
     "scd2_history": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
+    "scd2_history_fold": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
     "scd2_new": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change IN ('new', 'returned')"),
     "scd2_deleted": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change = 'deleted'"),
     "scd2_updated": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change = 'updated'"),
@@ -291,7 +292,15 @@ FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
     "fraud_report": (("report",), "SELECT * FROM report"),
     "fraud_report_parity": (("report_p",), "SELECT * FROM report_p"),
     "fraud_report_dedup": (("report",), "SELECT DISTINCT * FROM report"),
-    "audit_counts": (("tx", "bl_feed", "bl_new", "sdays", "changes"), """
+    "audit_report": (("audit",), """
+SELECT upload_dt, table_name, COALESCE(CAST(new_rows AS VARCHAR), 'not exists') AS new_rows,
+       COALESCE(CAST(updated_rows AS VARCHAR), 'not exists') AS updated_rows,
+       COALESCE(CAST(deleted_rows AS VARCHAR), 'not exists') AS deleted_rows
+FROM audit"""),
+    "audit_counts": (("audit",), "SELECT * FROM audit"),
+}
+
+cte("audit", ("tx", "bl_feed", "bl_new", "sdays", "changes"), """
 SELECT file_date AS upload_dt, 'DWH_FACT_transactions' AS table_name, count(*) AS new_rows,
        CAST(NULL AS BIGINT) AS updated_rows, CAST(NULL AS BIGINT) AS deleted_rows
 FROM tx GROUP BY file_date
@@ -305,8 +314,7 @@ SELECT sd.d, 'DWH_DIM_terminals_HIST',
        CAST(count(c.change) FILTER (WHERE c.change = 'updated') AS BIGINT),
        CAST(count(c.change) FILTER (WHERE c.change = 'deleted') AS BIGINT)
 FROM sdays sd LEFT JOIN changes c ON c.change_date = sd.d
-GROUP BY sd.d"""),
-}
+GROUP BY sd.d""")
 
 
 def _order(deps: tuple[str, ...]) -> list[str]:

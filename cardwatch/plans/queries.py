@@ -20,7 +20,7 @@ from cardwatch.functions.text import (
 from cardwatch.operators import audit, report, rules, scd2
 from cardwatch.operators.lookback import expand_runs
 from cardwatch.plans.context import Inputs
-from cardwatch.schemas import FACT_COLS, HIST_COLS, TX_TEXT_FIELDS
+from cardwatch.schemas import FACT_COLS, HIST_COLS, TERMINAL_ATTRS, TX_TEXT_FIELDS
 
 # Fixed query parameters (same values in the DuckDB forms).
 MANIFEST_THROUGH = _dt.date(2024, 1, 15)   # batches before this day are already loaded
@@ -209,6 +209,13 @@ def _changes(x: Inputs, *kinds: str) -> DataFrame:
         "change_date", "terminal_id", "terminal_type", "terminal_city", "terminal_address", "change")
 
 
+@query
+def scd2_history_fold(x: Inputs) -> DataFrame:
+    """History by replaying the daily merge (parity preset) over the snapshot days."""
+    hist, _ = scd2.fold(x.spark, x.snap, "terminal_id", list(TERMINAL_ATTRS), "snap_date", Semantics.PARITY)
+    return hist.select(*HIST_COLS)
+
+
 @query
 def scd2_new(x: Inputs) -> DataFrame:
     return _changes(x, scd2.NEW, scd2.RETURNED)
@@ -357,11 +364,21 @@ def fraud_report_dedup(x: Inputs) -> DataFrame:
     return report.dedup(full_report(x))
 
 
-@query
-def audit_counts(x: Inputs) -> DataFrame:
+def _audit(x: Inputs) -> DataFrame:
     return (audit.fact_counts(x.tx)
             .unionByName(audit.blacklist_counts(x.bl_feed, x.bl_new))
             .unionByName(audit.terminal_counts(x.snap, x.changes)))
 
 
+@query
+def audit_counts(x: Inputs) -> DataFrame:
+    return _audit(x)
+
+
+@query
+def audit_report(x: Inputs) -> DataFrame:
+    """Audit rows as text, 'not exists' where a count does not apply."""
+    return audit.render(_audit(x))
+
+
 __all__ = ["registry", "PARITY", "Semantics"]

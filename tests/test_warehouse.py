@@ -119,3 +119,11 @@ def test_stream_equals_batch(spark, feed_dir, loaded, bulk):
     q.awaitTermination(600)
     assert digest(wh.alerts()) == digest(loaded.alerts())
     assert digest(wh.terminals_history().select(*HIST_COLS)) == digest(loaded.terminals_history().select(*HIST_COLS))
+
+
+def test_export_report_csv(spark, loaded, scratch):
+    out = os.path.join(scratch, "rep_fraud")
+    loaded.export_report(out)
+    back = spark.read.option("header", True).csv(out)
+    assert sorted(back.columns) == sorted(ALERT_COLS)
+    assert back.count() == loaded.alerts().count()
