@@ -127,3 +127,22 @@ def test_export_report_csv(spark, loaded, scratch):
     back = spark.read.option("header", True).csv(out)
     assert sorted(back.columns) == sorted(ALERT_COLS)
     assert back.count() == loaded.alerts().count()
+
+
+def test_stream_restart_resumes_from_checkpoint(spark, feed_dir, loaded, bulk):
+    import shutil
+    import tempfile
+    from cardwatch.streaming.feed_stream import start
+    src = sorted((os.stat(os.path.join(feed_dir, n)).st_mtime, n) for n in os.listdir(feed_dir)
+                 if n.endswith((".txt", ".csv")) and "nodate" not in n and not n.startswith("unknown"))
+    half = len(src) // 2
+    inbox = tempfile.mkdtemp(prefix="cardwatch-inbox-")
+    ckpt = tempfile.mkdtemp(prefix="cardwatch-sq-restart-")
+    wh = _load(spark, tempfile.mkdtemp(prefix="cardwatch-wh-restart-"), bulk)
+    for part in (src[:half], src[half:]):
+        for mtime, n in part:
+            shutil.copy2(os.path.join(feed_dir, n), os.path.join(inbox, n))
+        q = start(spark, wh, inbox, query_name="t_restart", checkpoint=ckpt)
+        q.awaitTermination(600)
+    assert digest(wh.alerts()) == digest(loaded.alerts())
+    assert digest(wh.fact()) == digest(loaded.fact())
