@@ -16,20 +16,25 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-_ROW_COUNTS: dict[tuple, int] = {}
+_STATS: dict[tuple, object] = {}
 
 
-def table_rows(df: DataFrame, stats_key: tuple | None = None) -> int:
-    """Row count of a base table, kept per ``stats_key`` like catalog statistics.
+def table_stat(df: DataFrame, agg, stats_key: tuple | None = None):
+    """One exact aggregate of a base table (a single value), kept per ``stats_key``.
 
-    Only for inputs that do not change within the session (a table path);
-    without a key the count always runs.
+    Like catalog statistics: only for inputs that do not change within the
+    session (a table path); without a key the aggregate always runs.
     """
-    if stats_key is None:
-        return df.count()
-    if stats_key not in _ROW_COUNTS:
-        _ROW_COUNTS[stats_key] = df.count()
-    return _ROW_COUNTS[stats_key]
+    if stats_key is None or stats_key not in _STATS:
+        v = df.agg(agg).first()[0]
+        if stats_key is None:
+            return v
+        _STATS[stats_key] = v
+    return _STATS[stats_key]
+
+
+def table_rows(df: DataFrame, stats_key: tuple | None = None) -> int:
+    return table_stat(df, F.count(F.lit(1)), None if stats_key is None else (*stats_key, "rows"))
 
 
 class BroadcastCheck:

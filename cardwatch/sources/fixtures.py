@@ -35,6 +35,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[k]
 
 
+def _stat(spark: SparkSession, sf_dir: str, name: str, agg: F.Column):
+    """Exact single-value aggregate of an input table (count, max key), kept per path."""
+    from cardwatch.operators.joins import table_stat
+    return table_stat(read_table(spark, sf_dir, name), agg, (id(spark), sf_dir, name, str(agg)))
+
+
 def _day0() -> F.Column:
     return F.lit(DAY0)
 
@@ -46,7 +52,7 @@ def _client_id(key: F.Column) -> F.Column:
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact transactions from ``events`` (FIXTURES.md §3)."""
     ev = read_table(spark, sf_dir, "events")
-    n_terminals = read_table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    n_terminals = F.lit(_stat(spark, sf_dir, "supplier", F.count(F.lit(1))))
     micros = F.expr("hour(ts) * 3600000000L + minute(ts) * 60000000L"
                     " + cast(extract(SECOND FROM ts) * 1000000 as bigint)")
     offset_s = F.lit(TX_DAY_OFFSET_S) + F.floor(F.floor(micros / TX_SPREAD_DIV) / 1000000).cast("bigint")
@@ -89,10 +95,10 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    max_key = c.agg(F.max("c_custkey")).scalar()
+    max_key = _stat(spark, sf_dir, "customer", F.max("c_custkey"))
     k = F.col("c_custkey")
     # nation: 25 rows by the schema's definition, a fixed-size broadcast.
-    j = c.filter(k <= F.floor(max_key / 4)).join(
+    j = c.filter(k <= F.lit(max_key // 4)).join(
         F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return j.select(
         _client_id(k).alias("client_id"),
@@ -112,9 +118,9 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bl_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blacklist feed rows: (passport_num, source_date text, file_date)."""
     c = read_table(spark, sf_dir, "customer")
-    max_key = c.agg(F.max("c_custkey")).scalar()
+    max_key = _stat(spark, sf_dir, "customer", F.max("c_custkey"))
     k = F.col("c_custkey")
-    base = c.filter((k <= F.floor(max_key / 4)) & (k % 7 == 3)).select(
+    base = c.filter((k <= F.lit(max_key // 4)) & (k % 7 == 3)).select(
         F.concat(F.lit("P"), F.lpad(k.cast("string"), 10, "0")).alias("passport_num"),
         F.date_add(_day0(), (k % 30).cast("int")).alias("first_day"),
     )
