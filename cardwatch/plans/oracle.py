@@ -66,16 +66,16 @@ cte("bl_feed", (), """
 SELECT passport_num, strftime(first_day + rep, '%Y-%m-%d') || ' 00:00:00' AS source_date,
        first_day + rep AS file_date
 FROM (SELECT 'P' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS passport_num,
-             DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS first_day
+             DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS first_day,
+             unnest([0, 1]) AS rep
       FROM customer
-      WHERE c_custkey <= (SELECT max(c_custkey) FROM customer) // 4 AND c_custkey % 7 = 3) b,
-     (VALUES (0), (1)) r(rep)""")
+      WHERE c_custkey <= (SELECT max(c_custkey) FROM customer) // 4 AND c_custkey % 7 = 3) b""")
 cte("snap", (), """
 SELECT DATE '2024-01-01' + CAST(day AS INTEGER) AS snap_date, CAST(s_suppkey AS VARCHAR) AS terminal_id,
        CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
        'NATION_' || CAST((s_nationkey + (s_suppkey + day) // 5) % 25 AS VARCHAR) AS terminal_city,
        'addr-' || CAST(s_suppkey AS VARCHAR) AS terminal_address
-FROM supplier, range(0, 10) t(day)
+FROM (SELECT s_suppkey, s_nationkey, unnest(range(0, 10)) AS day FROM supplier)
 WHERE (s_suppkey * 3 + day) % 8 NOT IN (0, 1)""")
 
 # ---- SCD2 history from a key x snapshot-day state grid

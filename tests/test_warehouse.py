@@ -146,3 +146,15 @@ def test_stream_restart_resumes_from_checkpoint(spark, feed_dir, loaded, bulk):
         q.awaitTermination(600)
     assert digest(wh.alerts()) == digest(loaded.alerts())
     assert digest(wh.fact()) == digest(loaded.fact())
+
+
+def test_command_line_run(spark, feed_dir, loaded, bulk, scratch):
+    from cardwatch.__main__ import main
+    dims = os.path.join(scratch, "dims")
+    for name in ("cards", "accounts", "clients"):
+        getattr(bulk, name).write.parquet(os.path.join(dims, name))
+    days = main(["--data", feed_dir, "--warehouse", os.path.join(scratch, "wh"), "--dims", dims,
+                 "--report", os.path.join(scratch, "rep"), "--report-dt", "2024-02-01"], spark=spark)
+    assert days and max(days) == LAST
+    back = spark.read.option("header", True).csv(os.path.join(scratch, "rep"))
+    assert back.count() == loaded.alerts().count()
