@@ -31,12 +31,12 @@ def day_start(date_col) -> Column:
 
 
 def date_plus_seconds(date_col, seconds) -> Column:
-    s = F.lit(seconds) if isinstance(seconds, int) else _c(seconds)
+    s = F.lit(seconds) if isinstance(seconds, int) else seconds
     return F.timestamp_add("SECOND", s, day_start(date_col))
 
 
-def cut_ts(run_date, cut_seconds: int) -> Column:
-    """Lookback bound of a run: the day before ``run_date`` at the cut time."""
+def cut_ts(run_date, cut_seconds) -> Column:
+    """Lookback bound of a run: the day before ``run_date`` at the cut time (seconds, int or column)."""
     return date_plus_seconds(F.date_sub(_c(run_date), 1), cut_seconds)
 
 

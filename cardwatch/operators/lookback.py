@@ -20,7 +20,7 @@ def run_dates(fact: DataFrame, date_col: str = "file_date") -> DataFrame:
     return fact.select(F.col(date_col).alias("run_date")).distinct()
 
 
-def in_slice(ts: Column, run_date: Column, cut_s: int) -> Column:
+def in_slice(ts: Column, run_date: Column, cut_s) -> Column:
     """``ts`` lies in the lookback slice of ``run_date`` (strict cut, bounded above)."""
     return (ts > cut_ts(run_date, cut_s)) & (ts < day_start(F.date_add(run_date, 1)))
 
@@ -39,7 +39,7 @@ def expand_runs(df: DataFrame, runs: DataFrame, cut_s: int, ts_col: str = "trans
     return small_join(out, runs, "run_date", "left_semi")
 
 
-def runs_covering(df: DataFrame, runs: DataFrame, cut_s: int, first_ts: str, last_ts: str) -> DataFrame:
+def runs_covering(df: DataFrame, runs: DataFrame, cut_s, first_ts: str, last_ts: str) -> DataFrame:
     """Runs whose slice contains both ``first_ts`` and ``last_ts`` of a row.
 
     Used when a condition spans several rows of one card (a lag row and the

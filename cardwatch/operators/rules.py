@@ -25,7 +25,7 @@ from cardwatch.config import (
 from cardwatch.functions.timefn import seconds_between
 from cardwatch.operators.joins import BroadcastCheck, dim_join
 from cardwatch.operators.lookback import expand_runs, runs_covering
-from cardwatch.operators.timeline import bounded_lags
+from cardwatch.operators.timeline import bounded_lags, halo_buckets, home_rows, lags_in_buckets
 from cardwatch.schemas import ALERT_COLS
 
 
@@ -149,14 +149,32 @@ def city_hop_rep(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfi
              .select("run_date", "card_num", "terminal_city", "transe_date", "prev_transe_date", "gap_s"))
 
 
+def withdrawal_timeline(tx: DataFrame, cfg: RuleConfig) -> DataFrame:
+    """Withdrawals bucketed for both windowed rules and shuffled once by (card, bucket).
+
+    The halo covers the longer of the two lookback spans, so rule 3 (after a
+    broadcast terminal join, which keeps the partitioning) and rule 4 read
+    the same shuffle output.
+    """
+    span = max(cfg.city_max_gap_s, cfg.amount_max_span_s)
+    bucket = max(cfg.city_bucket_s, cfg.amount_bucket_s, span)
+    return halo_buckets(_withdrawals(tx), "transe_date", span, bucket, keys=["card_num"])
+
+
 def city_hop_pair(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConfig,
-                  asof: bool | None = None, hist_check=None) -> DataFrame:
-    """Rule 3, pair form: an operation in another city than the card's previous one within the gap."""
+                  asof: bool | None = None, hist_check=None, timeline: DataFrame | None = None) -> DataFrame:
+    """Rule 3, pair form: an operation in another city than the card's previous one within the gap.
+
+    ``timeline`` (from ``withdrawal_timeline``) lets rule 3 share rule 4's shuffle.
+    """
     asof = (cfg.semantics == Semantics.INTENDED) if asof is None else asof
-    j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
-    x = bounded_lags(j, ["card_num"], ["transe_date", "trans_id", "terminal_city"], "transe_date",
-                     cfg.city_max_gap_s, cfg.city_bucket_s,
-                     {"prev_city": ("terminal_city", 1), "prev_transe_date": ("transe_date", 1)})
+    lags = {"prev_city": ("terminal_city", 1), "prev_transe_date": ("transe_date", 1)}
+    order = ["transe_date", "trans_id", "terminal_city"]
+    if timeline is not None:
+        x = home_rows(lags_in_buckets(with_terminal(timeline, hist, asof, hist_check), ["card_num"], order, lags))
+    else:
+        j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
+        x = bounded_lags(j, ["card_num"], order, "transe_date", cfg.city_max_gap_s, cfg.city_bucket_s, lags)
     x = x.withColumn("gap_s", seconds_between("transe_date", "prev_transe_date"))
     hit = (F.col("prev_city") != F.col("terminal_city")) & (F.col("gap_s") <= cfg.city_max_gap_s)
     x = runs_covering(x.filter(hit), runs, cfg.city_cut_s, "prev_transe_date", "transe_date")
@@ -195,7 +213,8 @@ def amount_chain(amt: Column, prev: list[Column], mode: str) -> Column:
     raise ValueError(mode)
 
 
-def amount_guess(tx: DataFrame, runs: DataFrame, cfg: RuleConfig, amount_mode: str | None = None) -> DataFrame:
+def amount_guess(tx: DataFrame, runs: DataFrame, cfg: RuleConfig, amount_mode: str | None = None,
+                 timeline: DataFrame | None = None) -> DataFrame:
     """Rule 4: a success right after ``n`` rejected withdrawals, all within the span."""
     n = cfg.amount_n_rejects
     mode = amount_mode or ("decreasing" if cfg.semantics == Semantics.INTENDED else "literal")
@@ -205,7 +224,7 @@ def amount_guess(tx: DataFrame, runs: DataFrame, cfg: RuleConfig, amount_mode: s
         lags[f"_a{i}"] = ("amt", i)
     lags["_t_first"] = ("transe_date", n)
     x = bounded_lags(_withdrawals(tx), ["card_num"], ["transe_date", "trans_id"], "transe_date",
-                     cfg.amount_max_span_s, cfg.amount_bucket_s, lags)
+                     cfg.amount_max_span_s, cfg.amount_bucket_s, lags, bucketed=timeline)
     hit = (F.col("oper_result") == RESULT_SUCCESS)
     for i in range(1, n + 1):
         hit = hit & (F.col(f"_r{i}") == RESULT_REJECT)
@@ -221,4 +240,57 @@ def amount_alerts(hits: DataFrame, chain: DataFrame, chain_check=None, report_dt
     return alert_rows(j, F.to_date("transe_date"), EVENT_AMOUNT, report_dt)
 
 
+# ---------------------------------------------------------------- rules 3 + 4, one shuffle
+
+def city_amount_alerts(tx: DataFrame, hist: DataFrame, runs: DataFrame, chain: DataFrame, cfg: RuleConfig,
+                       chain_check=None, report_dt=None) -> DataFrame:
+    """Rules 3 (pair form, as-of terminals) and 4 from a single shuffle of the withdrawals.
+
+    One pipeline without branches: bucketed timeline shuffled by
+    (card, bucket) -> rule 4 lags -> as-of broadcast left join to terminal
+    versions (keeps the partitioning) -> rule 3 lags over the rows that found
+    a version (a window on (card, bucket, has_city), satisfied by the same
+    partitioning) -> both rules' hits out of one explode -> runs -> chain.
+    The history must be broadcastable (the caller checks); the as-of join
+    matches at most one version per operation, so rows are not multiplied.
+    """
+    n = cfg.amount_n_rejects
+    mode = "decreasing" if cfg.semantics == Semantics.INTENDED else "literal"
+    t = withdrawal_timeline(tx, cfg)
+    lags4 = {**{f"_r{i}": ("oper_result", i) for i in range(1, n + 1)},
+             **{f"_a{i}": ("amt", i) for i in range(1, n + 1)}, "_t_first": ("transe_date", n)}
+    t = lags_in_buckets(t, ["card_num"], ["transe_date", "trans_id"], lags4)
+    hit4 = (F.col("oper_result") == RESULT_SUCCESS)
+    for i in range(1, n + 1):
+        hit4 = hit4 & (F.col(f"_r{i}") == RESULT_REJECT)
+    hit4 = hit4 & (seconds_between("transe_date", "_t_first") < cfg.amount_max_span_s)
+    hit4 = hit4 & amount_chain(F.col("amt"), [F.col(f"_a{i}") for i in range(1, n + 1)], mode)
+    t = t.withColumn("_hit4", F.coalesce(hit4, F.lit(False)))
+    h = hist.filter(F.col("deleted_flg") == 0).select(
+        F.col("terminal_id"), "terminal_city", "effective_from", F.to_date("effective_to").alias("_to_day"))
+    cond = ((F.col("terminal") == F.col("terminal_id")) & (F.col("effective_from") <= F.to_date("transe_date"))
+            & (F.to_date("transe_date") <= F.col("_to_day")))
+    j = t.join(F.broadcast(h), cond, "left")
+    w3 = Window.partitionBy("card_num", "_bucket", F.col("terminal_city").isNotNull()).orderBy(
+        "transe_date", "trans_id", "terminal_city")
+    j = j.withColumns({"_prev_city": F.lag("terminal_city").over(w3),
+                       "_prev_ts": F.lag("transe_date").over(w3)})
+    hit3 = (F.col("terminal_city").isNotNull() & (F.col("_prev_city") != F.col("terminal_city"))
+            & (seconds_between("transe_date", "_prev_ts") <= cfg.city_max_gap_s))
+    j = home_rows(j)
+    ev = F.array_compact(F.array(
+        F.when(F.coalesce(hit3, F.lit(False)),
+               F.struct(F.lit(EVENT_CITY).alias("rule"), F.col("_prev_ts").alias("first_ts"),
+                        F.lit(cfg.city_cut_s).alias("cut_s"))),
+        F.when(F.col("_hit4"),
+               F.struct(F.lit(EVENT_AMOUNT).alias("rule"), F.col("_t_first").alias("first_ts"),
+                        F.lit(cfg.amount_cut_s).alias("cut_s")))))
+    x = j.select("card_num", "transe_date", F.explode(ev).alias("_e")).select(
+        "card_num", "transe_date", "_e.rule", "_e.first_ts", "_e.cut_s")
+    x = runs_covering(x, runs, F.col("cut_s"), "first_ts", "transe_date")
+    a = dim_join(x, chain, "card_num", check=chain_check)
+    return a.select(F.to_date("transe_date").alias("event_dt"), F.col("passport_num").alias("passport"), "fio",
+                    "phone", F.col("rule").alias("event_type"), _report_dt(report_dt).alias("report_dt"))
+
+
 __all__ = [n for n in dir() if not n.startswith("_")] + ["ALERT_COLS"]

@@ -9,6 +9,11 @@ seconds of the bucket before it. Within ``(key, bucket)`` the lags of home
 rows are exact whenever the lag row lies within ``span`` seconds; otherwise
 they are NULL. Cost: rows within ``span`` of a bucket end are duplicated
 once, a factor of at most ``1 + span / bucket``.
+
+One bucketed timeline can serve several windows: ``halo_buckets`` with
+``repartition=True`` shuffles once by ``(key, bucket)``; later windows on
+``(key, bucket, ...)`` reuse that partitioning (and a broadcast join in
+between keeps it), so two rules share one shuffle of the fact.
 """
 
 from __future__ import annotations
@@ -20,14 +25,14 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.timefn import epoch_seconds
 
+BUCKET, HOME = "_bucket", "_home"
 
-def bounded_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_col: str,
-                 span_s: int, bucket_s: int, lags: dict[str, tuple[str, int]]) -> DataFrame:
-    """Add lag columns ``name -> (column, offset)`` computed per key in ``order``.
 
-    ``order`` must start with ``ts_col`` and be a total order. A lag value is
-    guaranteed only where the lag row is at most ``span_s`` seconds older
-    than the row; callers must test that span (the rules do).
+def halo_buckets(df: DataFrame, ts_col: str, span_s: int, bucket_s: int,
+                 keys: Sequence[str] | None = None) -> DataFrame:
+    """Copy each row to its time bucket, and to the next one when within ``span_s`` of its end.
+
+    With ``keys``, the result is hash-partitioned by ``keys + bucket`` (one shuffle).
     """
     if span_s > bucket_s:
         raise ValueError("bucket must be at least as long as the lookback span")
@@ -35,8 +40,32 @@ def bounded_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_co
     home = F.floor(e / bucket_s).cast("bigint")
     nxt_start = (home + 1) * bucket_s
     buckets = F.when(e >= nxt_start - span_s, F.array(home, home + 1)).otherwise(F.array(home))
-    x = (df.withColumn("_home", home)
-           .withColumn("_bucket", F.explode(buckets)))
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    x = x.withColumns({name: F.lag(c, n).over(w) for name, (c, n) in lags.items()})
-    return x.filter(F.col("_bucket") == F.col("_home")).drop("_bucket", "_home")
+    x = df.withColumn(HOME, home).withColumn(BUCKET, F.explode(buckets))
+    if keys:
+        x = x.repartition(*keys, BUCKET)
+    return x
+
+
+def lags_in_buckets(x: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    lags: dict[str, tuple[str, int]]) -> DataFrame:
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    return x.withColumns({name: F.lag(c, n).over(w) for name, (c, n) in lags.items()})
+
+
+def home_rows(x: DataFrame) -> DataFrame:
+    return x.filter(F.col(BUCKET) == F.col(HOME)).drop(BUCKET, HOME)
+
+
+def bounded_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_col: str,
+                 span_s: int, bucket_s: int, lags: dict[str, tuple[str, int]],
+                 bucketed: DataFrame | None = None) -> DataFrame:
+    """Add lag columns ``name -> (column, offset)`` computed per key in ``order``.
+
+    ``order`` must start with ``ts_col`` and be a total order. A lag value is
+    guaranteed only where the lag row is at most ``span_s`` seconds older
+    than the row; callers must test that span (the rules do). ``bucketed``
+    may pass a frame already prepared by ``halo_buckets`` with a span of at
+    least ``span_s``.
+    """
+    x = bucketed if bucketed is not None else halo_buckets(df, ts_col, span_s, bucket_s)
+    return home_rows(lags_in_buckets(x, keys, order, lags))

@@ -305,16 +305,16 @@ def fraud_contract(x: Inputs) -> DataFrame:
     return rules.contract_alerts(x.batch_joined(), x.cfg.report_dt)
 
 
-def _city(x: Inputs, parity: bool, chain: DataFrame | None = None) -> DataFrame:
+def _city(x: Inputs, parity: bool, chain: DataFrame | None = None, timeline: DataFrame | None = None) -> DataFrame:
     if parity:
         hops = rules.city_hop_rep(x.tx, x.hist, x.runs, x.cfg, False, x.hist_check)
     else:
-        hops = rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check)
+        hops = rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg, True, x.hist_check, timeline)
     return rules.city_alerts(hops, x.chain if chain is None else chain, x.chain_check, x.cfg.report_dt)
 
 
-def _amount(x: Inputs, parity: bool, chain: DataFrame | None = None) -> DataFrame:
-    hits = rules.amount_guess(x.tx, x.runs, x.cfg, "literal" if parity else "decreasing")
+def _amount(x: Inputs, parity: bool, chain: DataFrame | None = None, timeline: DataFrame | None = None) -> DataFrame:
+    hits = rules.amount_guess(x.tx, x.runs, x.cfg, "literal" if parity else "decreasing", timeline)
     return rules.amount_alerts(hits, x.chain if chain is None else chain, x.chain_check, x.cfg.report_dt)
 
 
@@ -343,8 +343,12 @@ def fraud_amount_parity(x: Inputs) -> DataFrame:
 # ------------------------------------------------------------------ output
 
 def full_report(x: Inputs, parity: bool = False) -> DataFrame:
-    """All rules; the four joins to the card chain share one (broadcast) chain plan."""
+    """All rules; the joins to the card chain share one chain plan, and (intended preset,
+    broadcastable history) rules 3 and 4 share one shuffle of the withdrawals."""
     pc = rules.passport_contract_alerts(x.batch_joined(), x.cfg.report_dt)
+    if not parity and x.hist_check.ok:
+        both = rules.city_amount_alerts(x.tx, x.hist, x.runs, x.chain_bl, x.cfg, x.chain_check, x.cfg.report_dt)
+        return report.build(pc, both)
     return report.build(pc, _city(x, parity, x.chain_bl), _amount(x, parity, x.chain_bl))
 
 

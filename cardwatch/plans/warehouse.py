@@ -174,15 +174,21 @@ class Warehouse:
         hist = self.terminals_history()
         hist_check = BroadcastCheck(hist.select("terminal_id"), cfg.broadcast_max_rows)
         runs = self.spark.createDataFrame([(day,)], "run_date date")
-        s1 = slice_of_run(self.fact(), day, cfg.city_cut_s)
-        if cfg.semantics.value == "intended":
-            hops = rules.city_hop_pair(s1, hist, runs, cfg, True, hist_check)
+        # both lookback slices of run `day` lie in the fact partitions day-1 and day
+        recent = slice_of_run(self.fact(), day, min(cfg.city_cut_s, cfg.amount_cut_s))
+        if cfg.semantics.value == "intended" and hist_check.ok:
+            parts = [rules.city_amount_alerts(recent.drop("run_date"), hist, runs, chain_bl, cfg, chain_check,
+                                              cfg.report_dt)]
         else:
-            hops = rules.city_hop_rep(s1, hist, runs, cfg, False, hist_check)
-        city = rules.city_alerts(hops, chain, chain_check, cfg.report_dt)
-        s2 = slice_of_run(self.fact(), day, cfg.amount_cut_s)
-        amount = rules.amount_alerts(rules.amount_guess(s2, runs, cfg), chain, chain_check, cfg.report_dt)
-        alerts = report.build(pc, city, amount).withColumn("run_date", F.lit(day).cast("date"))
+            s1 = slice_of_run(self.fact(), day, cfg.city_cut_s)
+            if cfg.semantics.value == "intended":
+                hops = rules.city_hop_pair(s1, hist, runs, cfg, True, hist_check)
+            else:
+                hops = rules.city_hop_rep(s1, hist, runs, cfg, False, hist_check)
+            s2 = slice_of_run(self.fact(), day, cfg.amount_cut_s)
+            parts = [rules.city_alerts(hops, chain, chain_check, cfg.report_dt),
+                     rules.amount_alerts(rules.amount_guess(s2, runs, cfg), chain, chain_check, cfg.report_dt)]
+        alerts = report.build(pc, *parts).withColumn("run_date", F.lit(day).cast("date"))
         self._overwrite_partition(alerts, "alerts", "run_date")
         n = staged.count()
         return self._audit(day, AUDIT_FACT, n)

@@ -75,3 +75,11 @@ def test_warehouse_slice_prunes_partitions_and_pushes_filters(spark, scratch):
                        & (F.col("transe_date") > dt.datetime(2024, 1, 9, 23, 40, 1))
                        & (F.col("transe_date") < dt.datetime(2024, 1, 11))).count()
     assert got == want
+
+
+def test_report_shuffles_withdrawals_once_for_rules_3_and_4(spark):
+    x = Inputs(spark, SF0001)
+    p = plan(rules.city_amount_alerts(x.tx, x.hist, x.runs, x.chain_bl, DEFAULT, True))
+    initial = p.split("== Initial Plan ==")[-1]
+    fact_keys = [k for k in exchanges(initial) if "card_num" in k]
+    assert len(fact_keys) == 1 and "_bucket" in fact_keys[0]
