@@ -69,3 +69,27 @@ def test_dedup_idempotent(spark):
     r = E.queries()["fraud_report"](spark, SF0001)
     once = report.dedup(r)
     assert digest(report.dedup(once)) == digest(once)
+
+
+snapshots = st.lists(  # per day: which of 4 terminals are present, and their city
+    st.lists(st.tuples(st.booleans(), st.sampled_from(["X", "Y"])), min_size=4, max_size=4),
+    min_size=1, max_size=4)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(days=snapshots)
+def test_scd2_closed_form_equals_fold(spark, days):
+    from cardwatch.operators import scd2
+    from cardwatch.schemas import HIST_COLS, TERMINAL_ATTRS
+    rows = []
+    for i, day in enumerate(days):
+        for t, (present, city) in enumerate(day):
+            if present:
+                rows.append((dt.date(2024, 1, 1 + i), str(t), "ATM", city, "a"))
+    if not rows:
+        return
+    snap = spark.createDataFrame(rows, "snap_date date, terminal_id string, terminal_type string, "
+                                       "terminal_city string, terminal_address string")
+    closed = scd2.backfill(snap, "terminal_id", TERMINAL_ATTRS)
+    folded, _ = scd2.fold(spark, snap, "terminal_id", TERMINAL_ATTRS)
+    assert digest(closed.select(*HIST_COLS)) == digest(folded.select(*HIST_COLS))
