@@ -243,7 +243,7 @@ def amount_alerts(hits: DataFrame, chain: DataFrame, chain_check=None, report_dt
 # ---------------------------------------------------------------- rules 3 + 4, one shuffle
 
 def city_amount_alerts(tx: DataFrame, hist: DataFrame, runs: DataFrame, chain: DataFrame, cfg: RuleConfig,
-                       chain_check=None, report_dt=None) -> DataFrame:
+                       chain_check=None, report_dt=None, hist_check: BroadcastCheck | bool = True) -> DataFrame:
     """Rules 3 (pair form, as-of terminals) and 4 from a single shuffle of the withdrawals.
 
     One pipeline without branches: bucketed timeline shuffled by
@@ -251,8 +251,9 @@ def city_amount_alerts(tx: DataFrame, hist: DataFrame, runs: DataFrame, chain: D
     versions (keeps the partitioning) -> rule 3 lags over the rows that found
     a version (a window on (card, bucket, has_city), satisfied by the same
     partitioning) -> both rules' hits out of one explode -> runs -> chain.
-    The history must be broadcastable (the caller checks); the as-of join
-    matches at most one version per operation, so rows are not multiplied.
+    The as-of join matches at most one version per operation, so rows are
+    not multiplied. When ``hist_check`` fails the join is a shuffle join:
+    still correct, at the price of a second exchange before rule 3.
     """
     n = cfg.amount_n_rejects
     mode = "decreasing" if cfg.semantics == Semantics.INTENDED else "literal"
@@ -270,7 +271,7 @@ def city_amount_alerts(tx: DataFrame, hist: DataFrame, runs: DataFrame, chain: D
         F.col("terminal_id"), "terminal_city", "effective_from", F.to_date("effective_to").alias("_to_day"))
     cond = ((F.col("terminal") == F.col("terminal_id")) & (F.col("effective_from") <= F.to_date("transe_date"))
             & (F.to_date("transe_date") <= F.col("_to_day")))
-    j = t.join(F.broadcast(h), cond, "left")
+    j = dim_join(t, h, cond, "left", check=hist_check)
     w3 = Window.partitionBy("card_num", "_bucket", F.col("terminal_city").isNotNull()).orderBy(
         "transe_date", "trans_id", "terminal_city")
     j = j.withColumns({"_prev_city": F.lag("terminal_city").over(w3),

@@ -347,7 +347,8 @@ def full_report(x: Inputs, parity: bool = False) -> DataFrame:
     broadcastable history) rules 3 and 4 share one shuffle of the withdrawals."""
     pc = rules.passport_contract_alerts(x.batch_joined(), x.cfg.report_dt)
     if not parity and x.hist_check.ok:
-        both = rules.city_amount_alerts(x.tx, x.hist, x.runs, x.chain_bl, x.cfg, x.chain_check, x.cfg.report_dt)
+        both = rules.city_amount_alerts(x.tx, x.hist, x.runs, x.chain_bl, x.cfg, x.chain_check, x.cfg.report_dt,
+                                        x.hist_check)
         return report.build(pc, both)
     return report.build(pc, _city(x, parity, x.chain_bl), _amount(x, parity, x.chain_bl))
 

@@ -178,7 +178,7 @@ class Warehouse:
         recent = slice_of_run(self.fact(), day, min(cfg.city_cut_s, cfg.amount_cut_s))
         if cfg.semantics.value == "intended" and hist_check.ok:
             parts = [rules.city_amount_alerts(recent.drop("run_date"), hist, runs, chain_bl, cfg, chain_check,
-                                              cfg.report_dt)]
+                                              cfg.report_dt, hist_check)]
         else:
             s1 = slice_of_run(self.fact(), day, cfg.city_cut_s)
             if cfg.semantics.value == "intended":

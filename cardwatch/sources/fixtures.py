@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions.timefn import day_start
+from cardwatch.operators.joins import small_join
 
 # Fixed values of the fixture projection.
 DAY0 = _dt.date(2024, 1, 1)
@@ -98,8 +99,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     max_key = _stat(spark, sf_dir, "customer", F.max("c_custkey"))
     k = F.col("c_custkey")
     # nation: 25 rows by the schema's definition, a fixed-size broadcast.
-    j = c.filter(k <= F.lit(max_key // 4)).join(
-        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    j = small_join(c.filter(k <= F.lit(max_key // 4)), nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return j.select(
         _client_id(k).alias("client_id"),
         F.col("c_name").alias("last_name"),
