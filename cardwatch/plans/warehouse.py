@@ -33,7 +33,7 @@ from cardwatch.operators import dims, report, rules, scd2
 from cardwatch.operators.joins import BroadcastCheck
 from cardwatch.operators.lookback import slice_of_run
 from cardwatch.schemas import (
-    ACCOUNTS, ALERT_COLS, ALERTS_RUN, AUDIT, BLACKLIST, CARDS, CLIENTS, FACT, FACT_COLS, HIST_COLS, TERMINAL_ATTRS,
+    ACCOUNTS, ALERT_COLS, ALERTS_RUN, AUDIT, BLACKLIST, BLACKLIST, CARDS, CLIENTS, FACT, FACT_COLS, HIST_COLS, TERMINAL_ATTRS,
     TERMINALS_HIST,
 )
 from cardwatch.sources import feeds
@@ -134,12 +134,16 @@ class Warehouse:
 
     # ------------------------------------------------------------ feeds of one day
     def load_blacklist(self, day: _dt.date, feed: DataFrame) -> DataFrame:
-        """Append new passports of one feed; returns the audit row."""
-        new, rows = bl.merge_day(self.blacklist(), feed, day, self.cfg.semantics)
-        rows = rows.checkpoint()  # the table is read by the join above; cut before writing into it
-        rows.write.mode("append").partitionBy("entry_dt").parquet(self.path("blacklist"))
-        n = rows.count()
-        return self._audit(day, AUDIT_BLACKLIST, n)
+        """Add the new passports of one feed as the ``entry_dt = day`` partition; returns the audit row.
+
+        The merge compares with the table as of the days before, so a re-run of
+        the day rewrites the same partition.
+        """
+        before = self.blacklist().filter(F.col("entry_dt") < F.lit(day))
+        new, rows = bl.merge_day(before, feed, day, self.cfg.semantics)
+        rows = rows.select(*BLACKLIST.fieldNames()).checkpoint()  # cut: the table is read above
+        self._overwrite_partition(rows, "blacklist", "entry_dt")
+        return self._audit(day, AUDIT_BLACKLIST, rows.count())
 
     def load_terminals(self, day: _dt.date, snapshot: DataFrame) -> DataFrame:
         """Merge one full snapshot into the history; returns the audit row."""
@@ -194,11 +198,14 @@ class Warehouse:
         return self._audit(day, AUDIT_FACT, n)
 
     def write_audit(self, rows: list[DataFrame], day: _dt.date) -> None:
+        """Audit rows of one day; each (day, table) is its own partition, rewritten on a re-run."""
         if rows:
             df = rows[0]
             for r in rows[1:]:
                 df = df.unionByName(r)
-            self._overwrite_partition(df.withColumn("audit_day", F.col("upload_dt")), "audit", "audit_day")
+            (df.withColumn("audit_day", F.col("upload_dt")).withColumn("audit_table", F.col("table_name"))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("audit_day", "audit_table").parquet(self.path("audit")))
 
     # ------------------------------------------------------------ whole folder
     def load_folder(self, folder: str) -> list[_dt.date]:
