@@ -9,6 +9,7 @@ the order passports, terminals, transactions.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,18 +89,38 @@ def normalize_tx_frame(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select("file_name", *[F.col(f"_f_{c}").alias(c) for c in TX_TEXT_FIELDS], "reject_reason")
 
 
-def read_blacklist(spark: SparkSession, folder: str, glob: str = "passport*") -> DataFrame:
+def _tabular(spark: SparkSession, folder: str, prefix: str, schema) -> DataFrame:
+    """Tabular feed files of one prefix: ``*.csv`` (header line) and ``*.parquet``, by position.
+
+    Columns are taken by position, as the feed layout is fixed; Parquet
+    columns are renamed to the schema's names in order.
+    """
+    parts = []
+    csv = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", f"{prefix}*.csv")
+           .csv(folder))
+    parts.append(csv.withColumn("file_name", F.col("_metadata.file_name")))
+    try:
+        pq = spark.read.option("pathGlobFilter", f"{prefix}*.parquet").parquet(folder)
+        pq = pq.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(pq.columns, schema.fieldNames())])
+        parts.append(pq.withColumn("file_name", F.col("_metadata.file_name")))
+    except AnalysisException:  # no Parquet feed of this kind in the folder
+        pass
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_blacklist(spark: SparkSession, folder: str, prefix: str = "passport") -> DataFrame:
     """Blacklist feed rows ``(date, passport)`` -> (passport_num, source_entry_dt, file_date)."""
-    raw = (spark.read.schema(BLACKLIST_FEED).option("header", True).option("pathGlobFilter", glob).csv(folder)
-           .withColumn("file_name", F.col("_metadata.file_name")))
+    raw = _tabular(spark, folder, prefix, BLACKLIST_FEED)
     return raw.select(F.trim("passport").alias("passport_num"),
                       date_text_before_blank("date").alias("source_entry_dt"),
                       date_from_file_name("file_name").alias("file_date"))
 
 
-def read_terminals(spark: SparkSession, folder: str, glob: str = "terminals*") -> DataFrame:
+def read_terminals(spark: SparkSession, folder: str, prefix: str = "terminals") -> DataFrame:
     """Terminal snapshot rows with their snapshot day."""
-    raw = (spark.read.schema(TERMINAL_SNAPSHOT).option("header", True).option("pathGlobFilter", glob).csv(folder)
-           .withColumn("file_name", F.col("_metadata.file_name")))
+    raw = _tabular(spark, folder, prefix, TERMINAL_SNAPSHOT)
     return raw.select(*[F.trim(c).alias(c) for c in TERMINAL_SNAPSHOT.fieldNames()],
                       date_from_file_name("file_name").alias("snap_date"))

@@ -173,3 +173,14 @@ def test_command_line_run(spark, feed_dir, loaded, bulk, scratch):
     assert days and max(days) == LAST
     back = spark.read.option("header", True).csv(os.path.join(scratch, "rep"))
     assert back.count() == loaded.alerts().count()
+
+
+def test_parquet_and_csv_tabular_feeds(spark, scratch):
+    import pandas as pd
+    pd.DataFrame({"id": ["1", "2"], "type": ["ATM", "POS"], "city": ["X", "Y"], "addr": ["a", "b"]}) \
+        .to_parquet(os.path.join(scratch, "terminals_02012024.parquet"))
+    with open(os.path.join(scratch, "terminals_03012024.csv"), "w") as f:
+        f.write("terminal_id,terminal_type,terminal_city,terminal_address\n3,ATM,Z,c\n")
+    rows = sorted((r["snap_date"].day, r["terminal_id"], r["terminal_city"])
+                  for r in feeds.read_terminals(spark, scratch).collect())
+    assert rows == [(2, "1", "X"), (2, "2", "Y"), (3, "3", "Z")]
