@@ -6,16 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Call it on a frame that bounds the side to broadcast and is cheap to
-    count - a base table scan, where a Parquet count reads row-group
-    metadata only - never on a derived plan.
-    """
-    return df.count() <= max_rows
-
-
 _STATS: dict[tuple, object] = {}
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cardwatch.config import DEFAULT, FIXED_REPORT_DT, RuleConfig
 from cardwatch.operators import blacklist, dims, lookback, scd2
@@ -99,7 +98,3 @@ class Inputs:
     def batch_joined(self) -> DataFrame:
         from cardwatch.operators import rules
         return rules.batch_joined(self.tx, self.chain_bl, self.chain_check)
-
-
-def lit_date(d) -> F.Column:
-    return F.lit(d).cast("date")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.config import PARITY, FEED_PREFIXES, Semantics
 from cardwatch.functions.text import (
-    date_from_file_name, date_text_before_blank, feed_of_file_name, fio, parse_amount,
+    date_from_file_name, date_text_before_blank, feed_of_file_name, fio,
 )
 from cardwatch.operators import audit, report, rules, scd2
 from cardwatch.operators.lookback import expand_runs
