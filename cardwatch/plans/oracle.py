@@ -264,9 +264,11 @@ FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
     "lookback_20m": (("tx", "runs"), f"SELECT r.run_date, {', '.join('x.' + c for c in FACT_COLS.split(', '))} "
                                      f"FROM tx x {_slice_join('x', CUT_20M_S)} WHERE x.opertype = 'WITHDRAW'"),
     "blacklist_new": (("bl_new",), "SELECT passport_num, file_date FROM bl_new"),
+    "blacklist_merge_last_day": (("bl_table",), "SELECT passport_num, entry_dt FROM bl_table"),
     "blacklist_table": (("bl_table",), "SELECT passport_num, entry_dt, source_entry_dt FROM bl_table"),
     "scd2_history": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
     "scd2_history_fold": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
+    "scd2_merge_last_day": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
     "scd2_new": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change IN ('new', 'returned')"),
     "scd2_deleted": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change = 'deleted'"),
     "scd2_updated": (("changes",), f"SELECT {CHG_COLS} FROM changes WHERE change = 'updated'"),
@@ -289,6 +291,13 @@ FROM s1tx t JOIN hist h ON t.terminal = h.terminal_id AND h.deleted_flg = 0
     "fraud_city_parity": (("r3p",), "SELECT * FROM r3p"),
     "fraud_amount": (("r4",), "SELECT * FROM r4"),
     "fraud_amount_parity": (("r4p",), "SELECT * FROM r4p"),
+    "fraud_last_run": (("r1", "r2", "pair_asof", "ag_decreasing", "chain", "runs"), f"""
+SELECT * FROM r1 WHERE event_dt = (SELECT max(run_date) FROM runs)
+UNION ALL SELECT * FROM r2 WHERE event_dt = (SELECT max(run_date) FROM runs)
+UNION ALL {_alerts("(SELECT * FROM pair_asof WHERE run_date = (SELECT max(run_date) FROM runs))",
+                   "CAST(x.transe_date AS DATE)", "3")}
+UNION ALL {_alerts("(SELECT * FROM ag_decreasing WHERE run_date = (SELECT max(run_date) FROM runs))",
+                   "CAST(x.transe_date AS DATE)", "4")}"""),
     "fraud_report": (("report",), "SELECT * FROM report"),
     "fraud_report_parity": (("report_p",), "SELECT * FROM report_p"),
     "fraud_report_dedup": (("report",), "SELECT DISTINCT * FROM report"),

@@ -192,6 +192,17 @@ def blacklist_new(x: Inputs) -> DataFrame:
     return x.bl_new.select("passport_num", "file_date")
 
 
+@query
+def blacklist_merge_last_day(x: Inputs) -> DataFrame:
+    """Incremental path: the table of all earlier feeds plus ``merge_day`` of the newest feed."""
+    from cardwatch.operators import blacklist as bl
+    last = _last(x, x.bl_feed, "file_date", "bl_feed")
+    before = bl.table_from_new(bl.new_entries(x.bl_feed.filter(F.col("file_date") < F.lit(last))),
+                               source_col=None)
+    _, rows = bl.merge_day(before, x.bl_feed.filter(F.col("file_date") == F.lit(last)), last)
+    return before.unionByName(rows.select("passport_num", "entry_dt"))
+
+
 @query
 def blacklist_table(x: Inputs) -> DataFrame:
     return x.bl_table.select("passport_num", "entry_dt", date_text_before_blank("source_entry_dt").alias("source_entry_dt"))
@@ -216,6 +227,24 @@ def scd2_history_fold(x: Inputs) -> DataFrame:
     return hist.select(*HIST_COLS)
 
 
+def _last(x: Inputs, df: DataFrame, col: str, name: str):
+    """Newest batch day of an input (one value, kept per input like a statistic)."""
+    from cardwatch.operators.joins import table_stat
+    key = (id(x.spark), x.sf_dir, name, "max") if x.sf_dir else None
+    return table_stat(df, F.max(col), key)
+
+
+@query
+def scd2_merge_last_day(x: Inputs) -> DataFrame:
+    """Incremental path: history of all earlier days, then ``merge_day`` of the newest snapshot."""
+    last = _last(x, x.snap, "snap_date", "snap")
+    before = x.snap.filter(F.col("snap_date") < F.lit(last))
+    hist = scd2.backfill(before, "terminal_id", list(TERMINAL_ATTRS))
+    today = x.snap.filter(F.col("snap_date") == F.lit(last))
+    merged, _ = scd2.merge_day(hist, today, last, "terminal_id", list(TERMINAL_ATTRS))
+    return merged.select(*HIST_COLS)
+
+
 @query
 def scd2_new(x: Inputs) -> DataFrame:
     return _changes(x, scd2.NEW, scd2.RETURNED)
@@ -340,6 +369,20 @@ def fraud_amount_parity(x: Inputs) -> DataFrame:
     return _amount(x, parity=True)
 
 
+@query
+def fraud_last_run(x: Inputs) -> DataFrame:
+    """All rules for the newest batch day through the daily path (as the warehouse load runs them)."""
+    from cardwatch.operators.lookback import slice_of_run
+    last = _last(x, x.tx, "file_date", "tx")
+    runs = x.spark.createDataFrame([(last,)], "run_date date")
+    staged = x.tx.filter(F.col("file_date") == F.lit(last))
+    pc = rules.passport_contract_alerts(rules.batch_joined(staged, x.chain_bl, x.chain_check), x.cfg.report_dt)
+    recent = slice_of_run(x.tx, last, min(x.cfg.city_cut_s, x.cfg.amount_cut_s)).drop("run_date")
+    both = rules.city_amount_alerts(recent, x.hist, runs, x.chain_bl, x.cfg, x.chain_check, x.cfg.report_dt,
+                                    x.hist_check)
+    return report.build(pc, both)
+
+
 # ------------------------------------------------------------------ output
 
 def full_report(x: Inputs, parity: bool = False) -> DataFrame:
