@@ -12,8 +12,8 @@ _STATS: dict[tuple, object] = {}
 def table_stat(df: DataFrame, agg, stats_key: tuple | None = None):
     """One exact aggregate of a base table (a single value), kept per ``stats_key``.
 
-    Like catalog statistics: only for inputs that do not change within the
-    session (a table path); without a key the aggregate always runs.
+    Like catalog statistics: only for inputs that do not change (an input
+    table path); without a key the aggregate always runs.
     """
     if stats_key is None or stats_key not in _STATS:
         v = df.agg(agg).first()[0]

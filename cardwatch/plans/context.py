@@ -87,13 +87,13 @@ class Inputs:
     def chain_check(self) -> BroadcastCheck:
         """Cards bound the card chain (inner joins on unique keys)."""
         return BroadcastCheck(read_table(self.spark, self.sf_dir, "customer").select("c_custkey"),
-                              self.cfg.broadcast_max_rows, stats_key=(id(self.spark), self.sf_dir, "customer"))
+                              self.cfg.broadcast_max_rows, stats_key=(self.sf_dir, "customer"))
 
     @cached_property
     def hist_check(self) -> BroadcastCheck:
         """Each snapshot row opens at most one version and one tombstone."""
         return BroadcastCheck(self.snap.select("terminal_id"), self.cfg.broadcast_max_rows, factor=2,
-                              stats_key=(id(self.spark), self.sf_dir, "snap") if self.sf_dir else None)
+                              stats_key=(self.sf_dir, "snap") if self.sf_dir else None)
 
     def batch_joined(self) -> DataFrame:
         from cardwatch.operators import rules

@@ -230,7 +230,7 @@ def scd2_history_fold(x: Inputs) -> DataFrame:
 def _last(x: Inputs, df: DataFrame, col: str, name: str):
     """Newest batch day of an input (one value, kept per input like a statistic)."""
     from cardwatch.operators.joins import table_stat
-    key = (id(x.spark), x.sf_dir, name, "max") if x.sf_dir else None
+    key = (x.sf_dir, name, "max") if x.sf_dir else None
     return table_stat(df, F.max(col), key)
 
 

@@ -8,6 +8,7 @@ the Parquet tables: the views grow with the data.
 from __future__ import annotations
 
 import datetime as _dt
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,22 +25,22 @@ N_CITIES = 25
 REJECT_EVENT_TYPES = ("error", "click", "view")
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; the relation is resolved once per session and path."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (id(spark), path)
-    if k not in _READS:
-        _READS[k] = spark.read.parquet(path)
-    return _READS[k]
+    per_session = _READS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _stat(spark: SparkSession, sf_dir: str, name: str, agg: F.Column):
     """Exact single-value aggregate of an input table (count, max key), kept per path."""
     from cardwatch.operators.joins import table_stat
-    return table_stat(read_table(spark, sf_dir, name), agg, (id(spark), sf_dir, name, str(agg)))
+    return table_stat(read_table(spark, sf_dir, name), agg, (sf_dir, name, str(agg)))
 
 
 def _day0() -> F.Column:
