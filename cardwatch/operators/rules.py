@@ -87,24 +87,29 @@ def passport_contract_alerts(joined: DataFrame, report_dt=None) -> DataFrame:
 # ---------------------------------------------------------------- terminals
 
 def with_terminal(tx: DataFrame, hist: DataFrame, asof: bool,
-                  hist_check: BroadcastCheck | bool | None = None) -> DataFrame:
+                  hist_check: BroadcastCheck | bool | None = None, every_version: bool = False) -> DataFrame:
     """Join operations to terminal versions.
 
     ``asof``: the non-deleted version valid on the operation's day (an
     equi-join on the terminal plus an interval condition, so it stays a hash
-    join). Otherwise every version of the terminal matches, tombstones too.
+    join). Otherwise every version of the terminal matches, tombstones too;
+    for the rules only the distinct cities of a terminal matter (a repeated
+    city neither changes a first visit nor makes a city change between
+    sorted copies), so unless ``every_version`` the history is first reduced
+    to distinct (terminal, city) pairs, which cuts the fan-out.
     """
-    h = hist.select(F.col("terminal_id"), "terminal_city", "effective_from",
-                    F.to_date("effective_to").alias("_to_day"), "deleted_flg")
     if asof:
-        h = h.filter(F.col("deleted_flg") == 0)
+        h = hist.filter(F.col("deleted_flg") == 0).select(
+            F.col("terminal_id"), "terminal_city", "effective_from", F.to_date("effective_to").alias("_to_day"))
         cond = ((F.col("terminal") == F.col("terminal_id"))
                 & (F.col("effective_from") <= F.to_date("transe_date"))
                 & (F.to_date("transe_date") <= F.col("_to_day")))
+        return dim_join(tx, h, cond, check=hist_check).drop("terminal_id", "_to_day")
+    if every_version:
+        h = hist.select("terminal_id", "terminal_city", "effective_from")
     else:
-        cond = F.col("terminal") == F.col("terminal_id")
-    j = dim_join(tx, h, cond, check=hist_check)
-    return j.drop("terminal_id", "_to_day", "deleted_flg")
+        h = hist.select("terminal_id", "terminal_city").distinct()
+    return dim_join(tx, h, F.col("terminal") == F.col("terminal_id"), check=hist_check).drop("terminal_id")
 
 
 def _withdrawals(tx: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ def client_chain(x: Inputs) -> DataFrame:
 def _terminal_join(x: Inputs, asof: bool) -> DataFrame:
     """The 1-hour slice joined to terminal versions (as the city rule sees it)."""
     t = _slice(x, x.cfg.city_cut_s).select("run_date", "trans_id", "card_num", "transe_date", "terminal")
-    j = rules.with_terminal(t, x.hist, asof, x.hist_check)
+    j = rules.with_terminal(t, x.hist, asof, x.hist_check, every_version=True)
     return j.select("run_date", "trans_id", "card_num", "transe_date", "terminal", "terminal_city", "effective_from")
 
 
