@@ -201,6 +201,8 @@ def fold(spark, snapshots: DataFrame, key: str, attrs: Sequence[str], date_col:
     The day list is the calendar of batches (bounded). Lineage is cut with a
     reliable ``checkpoint()`` into the session's checkpoint folder.
     """
+    from cardwatch.session import checkpoint_dir
+    checkpoint_dir(spark)  # the session's shared folder; set only when unset
     if days is None:
         days = [r[0] for r in snapshots.select(date_col).distinct().orderBy(date_col).collect()]
     hist = empty_history(spark, key, attrs)

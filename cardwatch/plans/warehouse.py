@@ -35,6 +35,7 @@ from cardwatch.operators.lookback import slice_of_run
 from cardwatch.schemas import (
     ACCOUNTS, ALERT_COLS, ALERTS_RUN, AUDIT, BLACKLIST, CARDS, CLIENTS, FACT, FACT_COLS, HIST_COLS, TERMINAL_ATTRS,
 )
+from cardwatch.session import checkpoint_dir
 from cardwatch.sources import feeds
 
 
@@ -49,6 +50,7 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, cfg: RuleConfig = DEFAULT):
         self.spark, self.root, self.cfg = spark, root.rstrip("/"), cfg
+        checkpoint_dir(spark)  # lineage cuts go to the session's shared folder
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
