@@ -225,18 +225,19 @@ class Warehouse:
         by_feed: dict[str, list[str]] = {}
         for _, _, feed, name in sorted(files, key=lambda p: (p[1], p[3])):
             by_feed.setdefault(feed, []).append(name)
+        # read exactly this day's files: the folder keeps every earlier file as well
+        files_of = {f: [f"{folder.rstrip('/')}/{n}" for n in names] for f, names in by_feed.items()}
         if "passport" in by_feed:
-            fd = feeds.read_blacklist(self.spark, folder).filter(F.col("file_date") == F.lit(day))
+            fd = feeds.read_blacklist(self.spark, files_of["passport"]).filter(F.col("file_date") == F.lit(day))
             audit_rows.append(self.load_blacklist(day, fd))
             self._record(by_feed["passport"], "passport", day)
         if "terminals" in by_feed:
-            sn = feeds.read_terminals(self.spark, folder).filter(F.col("snap_date") == F.lit(day))
+            sn = feeds.read_terminals(self.spark, files_of["terminals"]).filter(F.col("snap_date") == F.lit(day))
             audit_rows.append(self.load_terminals(day, sn.drop("snap_date")))
             self._record(by_feed["terminals"], "terminals", day)
         if "transactions" in by_feed:
-            good, bad = feeds.read_transactions(self.spark, folder)
+            good, bad = feeds.read_transactions(self.spark, files_of["transactions"])
             good = good.filter(F.col("file_date") == F.lit(day))
-            bad = bad.filter(F.col("file_name").isin(by_feed["transactions"]))
             bad.withColumn("file_date", F.lit(day).cast("date")).write.mode("overwrite") \
                .option("partitionOverwriteMode", "dynamic").partitionBy("file_date").parquet(self.path("rejects"))
             audit_rows.append(self.load_transactions(day, good))

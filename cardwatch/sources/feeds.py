@@ -73,11 +73,21 @@ def _normalize(x: DataFrame, prefix: str, n_fields=None, file_date=None) -> tupl
     return good.select(*FACT_COLS), bad
 
 
-def read_transactions(spark: SparkSession, folder: str, glob: str = "transactions*") -> tuple[DataFrame, DataFrame]:
-    """Scan transaction text files; returns (fact rows with file_date, rejects with file name)."""
+def _paths(source: str | list[str], glob: str) -> tuple[str | list[str], dict]:
+    """A folder (filtered by name glob) or an explicit list of files (read as given)."""
+    if isinstance(source, (list, tuple)):
+        return list(source), {}
+    return source, {"pathGlobFilter": glob}
+
+
+def read_transactions(spark: SparkSession, source: str | list[str],
+                      glob: str = "transactions*") -> tuple[DataFrame, DataFrame]:
+    """Scan transaction text files (a folder, or the files of one batch);
+    returns (fact rows with file_date, rejects with file name)."""
+    paths, opts = _paths(source, glob)
     raw = (spark.read.schema(TX_TEXT).option("sep", ";").option("header", True)
            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-           .option("mode", "PERMISSIVE").option("pathGlobFilter", glob).csv(folder))
+           .option("mode", "PERMISSIVE").options(**opts).csv(paths))
     return normalize_tx_frame(raw.withColumn("file_name", F.col("_metadata.file_name")))
 
 
@@ -89,29 +99,42 @@ def normalize_tx_frame(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select("file_name", *[F.col(f"_f_{c}").alias(c) for c in TX_TEXT_FIELDS], "reject_reason")
 
 
-def _tabular(spark: SparkSession, folder: str, prefix: str, schema) -> DataFrame:
+def _tabular(spark: SparkSession, source: str | list[str], prefix: str, schema) -> DataFrame:
     """Tabular feed files of one prefix: ``*.csv`` (header line) and ``*.parquet``, by position.
 
-    Columns are taken by position, as the feed layout is fixed; Parquet
-    columns are renamed to the schema's names in order.
+    ``source`` is a folder or the explicit files of one batch. Columns are
+    taken by position, as the feed layout is fixed; Parquet columns are
+    renamed to the schema's names in order.
     """
+    if isinstance(source, (list, tuple)):
+        csv_src = [p for p in source if p.endswith(".csv")]
+        pq_src = [p for p in source if p.endswith(".parquet")]
+        csv_opts: dict = {}
+        pq_opts: dict = {}
+    else:
+        csv_src, pq_src = source, source
+        csv_opts, pq_opts = {"pathGlobFilter": f"{prefix}*.csv"}, {"pathGlobFilter": f"{prefix}*.parquet"}
     parts = []
-    csv = (spark.read.schema(schema).option("header", True).option("pathGlobFilter", f"{prefix}*.csv")
-           .csv(folder))
-    parts.append(csv.withColumn("file_name", F.col("_metadata.file_name")))
-    try:
-        pq = spark.read.option("pathGlobFilter", f"{prefix}*.parquet").parquet(folder)
-        pq = pq.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(pq.columns, schema.fieldNames())])
-        parts.append(pq.withColumn("file_name", F.col("_metadata.file_name")))
-    except AnalysisException:  # no Parquet feed of this kind in the folder
-        pass
+    if csv_src:
+        csv = spark.read.schema(schema).option("header", True).options(**csv_opts).csv(csv_src)
+        parts.append(csv.withColumn("file_name", F.col("_metadata.file_name")))
+    if pq_src:
+        try:
+            pq = spark.read.options(**pq_opts).parquet(*([pq_src] if isinstance(pq_src, str) else pq_src))
+            pq = pq.select(*[F.col(f"`{c}`").cast("string").alias(n)
+                             for c, n in zip(pq.columns, schema.fieldNames())])
+            parts.append(pq.withColumn("file_name", F.col("_metadata.file_name")))
+        except AnalysisException:  # no Parquet feed of this kind in the folder
+            pass
+    if not parts:
+        return spark.createDataFrame([], schema).withColumn("file_name", F.lit(None).cast("string"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def read_blacklist(spark: SparkSession, folder: str, prefix: str = "passport") -> DataFrame:
+def read_blacklist(spark: SparkSession, folder: str | list[str], prefix: str = "passport") -> DataFrame:
     """Blacklist feed rows ``(date, passport)`` -> (passport_num, source_entry_dt, file_date)."""
     raw = _tabular(spark, folder, prefix, BLACKLIST_FEED)
     return raw.select(F.trim("passport").alias("passport_num"),
@@ -119,7 +142,7 @@ def read_blacklist(spark: SparkSession, folder: str, prefix: str = "passport") -
                       date_from_file_name("file_name").alias("file_date"))
 
 
-def read_terminals(spark: SparkSession, folder: str, prefix: str = "terminals") -> DataFrame:
+def read_terminals(spark: SparkSession, folder: str | list[str], prefix: str = "terminals") -> DataFrame:
     """Terminal snapshot rows with their snapshot day."""
     raw = _tabular(spark, folder, prefix, TERMINAL_SNAPSHOT)
     return raw.select(*[F.trim(c).alias(c) for c in TERMINAL_SNAPSHOT.fieldNames()],
