@@ -7,6 +7,7 @@ Layout under ``root`` (a shared folder on a cluster):
   blacklist/                     passports, partitioned by entry_dt
   terminals/closed/              closed history rows (immutable appends), by close day
   terminals/open/v=<day>/        the open rows after the merge of that day
+  terminals/commits/             one row per finished merge; readers take the newest
   alerts/                        alerts, partitioned by run_date
   audit/                         load counts, partitioned by upload_dt
   manifest/                      loaded file names (append)
@@ -91,17 +92,19 @@ class Warehouse:
 
         Closed rows are immutable partitions by close day; the open set of
         each merge day is its own ``v=`` partition, and readers take the
-        newest one, so a failed merge never leaves a half-written open set.
+        newest one recorded in the commit table, so a failed merge never
+        exposes a half-written open set. Older open sets may be dropped.
         """
         empty = scd2.empty_history(self.spark, "terminal_id", TERMINAL_ATTRS)
-        opens = _try_read(self.spark, self.path("terminals", "open"))
-        if opens is None:
+        commits = _try_read(self.spark, self.path("terminals", "commits"))
+        if commits is None:
             return empty
         if before is not None:
-            opens = opens.filter(F.col("v") < F.lit(before))
-        last = opens.agg(F.max("v")).first()[0]  # one value: the newest merge day
+            commits = commits.filter(F.col("v") < F.lit(before))
+        last = commits.agg(F.max("v")).first()[0]  # one value from a one-row-per-merge table
         if last is None:
             return empty
+        opens = self.spark.read.parquet(self.path("terminals", "open"))
         hist = opens.filter(F.col("v") == F.lit(last)).select(*HIST_COLS)
         closed = _try_read(self.spark, self.path("terminals", "closed"))
         if closed is not None:
@@ -159,6 +162,9 @@ class Warehouse:
         self._overwrite_partition(closed_today, "terminals/closed", "closed_on")
         self._overwrite_partition(new_hist.filter(is_open).select(*HIST_COLS).withColumn("v", F.lit(day).cast("date")),
                                   "terminals/open", "v")
+        # switch readers to the new open set only after it is fully written
+        (self.spark.createDataFrame([(day,)], "v date").withColumn("committed_at", F.current_timestamp())
+             .write.mode("append").parquet(self.path("terminals", "commits")))
         c = changes.groupBy().agg(
             F.sum(F.col("change").isin(scd2.NEW, scd2.RETURNED).cast("int")).alias("n"),
             F.sum((F.col("change") == scd2.UPDATED).cast("int")).alias("u"),
