@@ -42,9 +42,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; set one only if unset."""
+    """Shared checkpoint folder named by the cluster; set one only if unset.
+
+    A machine-local scratch folder is used only for a ``local[...]`` master
+    (tests, benches); on a cluster an unset folder is an error, since a
+    lineage cut must survive the loss of any machine.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="cardwatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
