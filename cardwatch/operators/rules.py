@@ -9,6 +9,10 @@ computed once on each card's whole timeline (split into time buckets with a
 lookback halo, see ``timeline``), and a hit is then assigned to every run
 whose slice holds both ends of the pattern. A slice is a contiguous time
 interval, so this equals evaluating each run's slice on its own.
+
+``city_amount_alerts`` runs rules 3 (pair form, as-of) and 4 as one
+pipeline over a single shuffle of the withdrawals; the per-rule functions
+remain for the named queries and the parity preset.
 """
 
 from __future__ import annotations
