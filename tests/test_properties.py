@@ -93,3 +93,29 @@ def test_scd2_closed_form_equals_fold(spark, days):
     closed = scd2.backfill(snap, "terminal_id", TERMINAL_ATTRS)
     folded, _ = scd2.fold(spark, snap, "terminal_id", TERMINAL_ATTRS)
     assert digest(closed.select(*HIST_COLS)) == digest(folded.select(*HIST_COLS))
+
+
+city_timeline = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 30 * 3600), st.sampled_from(["A", "B"])),
+                         min_size=1, max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=city_timeline)
+def test_bulk_city_pair_equals_per_run_slices(spark, rows):
+    from cardwatch.schemas import TERMINALS_HIST
+    sent = dt.datetime(2999, 12, 31, 23, 59, 59)
+    hist = spark.createDataFrame([("A", "ATM", "CityA", "a", dt.date(2024, 1, 1), sent, 0),
+                                  ("B", "ATM", "CityB", "b", dt.date(2024, 1, 1), sent, 0)], TERMINALS_HIST)
+    tx = fact_rows(spark, [(f"{i:04d}", BASE + dt.timedelta(seconds=off), f"C{card}", "WITHDRAW", 1, "SUCCESS", term)
+                           for i, (card, off, term) in enumerate(rows)])
+    runs = run_dates(tx)
+    bulk = rules.city_hop_pair(tx, hist, runs, DEFAULT, True, True)
+    parts = []
+    for (d,) in runs.collect():
+        s = slice_of_run(tx, d, DEFAULT.city_cut_s).drop("run_date")
+        one = spark.createDataFrame([(d,)], "run_date date")
+        parts.append(rules.city_hop_pair(s, hist, one, DEFAULT, True, True))
+    per_run = parts[0]
+    for p in parts[1:]:
+        per_run = per_run.unionByName(p)
+    assert digest(bulk) == digest(per_run)
