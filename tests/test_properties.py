@@ -119,3 +119,33 @@ def test_bulk_city_pair_equals_per_run_slices(spark, rows):
     for p in parts[1:]:
         per_run = per_run.unionByName(p)
     assert digest(bulk) == digest(per_run)
+
+
+mixed_timeline = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 30 * 3600), st.sampled_from(["A", "B", "Z"]),
+                                    st.sampled_from(["R", "S"]), st.integers(1, 9)), min_size=1, max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=mixed_timeline)
+def test_shared_shuffle_equals_separate_rules(spark, rows):
+    from cardwatch.schemas import TERMINALS_HIST
+    from helpers import one_client
+    from cardwatch.operators import dims
+    sent = dt.datetime(2999, 12, 31, 23, 59, 59)
+    # terminal Z has no valid version: its operations count for rule 4 but not for rule 3
+    hist = spark.createDataFrame([("A", "ATM", "CityA", "a", dt.date(2024, 1, 1), sent, 0),
+                                  ("B", "ATM", "CityB", "b", dt.date(2024, 1, 1), sent, 0),
+                                  ("Z", "ATM", "CityZ", "z", dt.date(2024, 1, 1), sent, 1)], TERMINALS_HIST)
+    tx = fact_rows(spark, [(f"{i:04d}", BASE + dt.timedelta(seconds=off), f"C{card}", "WITHDRAW", amt * 100,
+                            "REJECT" if res == "R" else "SUCCESS", term)
+                           for i, (card, off, term, res, amt) in enumerate(rows)])
+    cards, accounts, clients = one_client(spark, card="C0")
+    chain = dims.card_chain(cards.unionByName(spark.createDataFrame([("C1", "A1", None, None)], cards.schema)),
+                            accounts, clients)
+    runs = run_dates(tx)
+    rd = dt.date(2024, 2, 1)
+    both = rules.city_amount_alerts(tx, hist, runs, chain, DEFAULT, True, rd, True)
+    sep = report.build(
+        rules.city_alerts(rules.city_hop_pair(tx, hist, runs, DEFAULT, True, True), chain, True, rd),
+        rules.amount_alerts(rules.amount_guess(tx, runs, DEFAULT, "decreasing"), chain, True, rd))
+    assert digest(both) == digest(sep)
