@@ -83,3 +83,21 @@ def test_report_shuffles_withdrawals_once_for_rules_3_and_4(spark):
     initial = p.split("== Initial Plan ==")[-1]
     fact_keys = [k for k in exchanges(initial) if "card_num" in k]
     assert len(fact_keys) == 1 and "_bucket" in fact_keys[0]
+
+
+import pytest  # noqa: E402
+
+import __spark_entry__ as E  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_cross_or_nested_loop_joins(spark, name):
+    p = plan(E.queries()[name](spark, SF0001))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_scans_read_only_needed_columns(spark):
+    x = Inputs(spark, SF0001)
+    p = plan(rules.amount_guess(x.tx, x.runs, DEFAULT))
+    schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
+    assert schemas and all("props" not in s for s in schemas)  # rule 4 never needs the terminal
