@@ -1,7 +1,7 @@
 """Operator 1: benchmark decontamination by CGK embedding and bit-sampling LSH, with exact edit verification.
 
-Words are compared. The CGK random walk maps a word sequence of n words to 3n places: at each step it writes the
-current word and moves on, or stays, by a random bit of (step, word). Near sequences by edit distance become near
+Words are compared. The CGK random walk embeds a sequence of n words: at each of 2n steps it writes the current
+word and moves on, or stays, by a random bit of (step, word). Near sequences by edit distance become near
 ones by Hamming distance, so sampled places that agree make a hash key. ``tables`` repetitions, each with its own walk
 and sample, reach ``recall`` for an expected share of ``differing`` places. Windows of an item's size whose key equals
 the item's in some table are candidates; the edit distance, computed exactly, decides (``similarity`` of the words).
@@ -35,8 +35,8 @@ RESULT = "doc_id long, item_id long, edits int, similarity double, start_word in
 class DecontamConfig:
     similarity: float = 0.8
     recall: float = 0.995          # of windows at the similarity threshold, per window
-    differing: float = 0.35        # share of embedding places that differ there
-    sampled: int = 4               # places in a key
+    differing: float = 0.45        # share of embedding places that differ there
+    sampled: int = 3               # places in a key
     block_chars: int = 8_000_000   # benchmark text that is broadcast at a time
     seed: int = 20
 
@@ -50,27 +50,29 @@ def edits_allowed(n: int, similarity: float) -> int:
     return int((1 - similarity) * n + 1e-9)
 
 
-def embed(words: np.ndarray, start: np.ndarray, stop: np.ndarray, places: np.ndarray, salt: int) -> np.ndarray:
-    """Words at the sampled ``places`` of the CGK walk over words[start:stop] for each window; 0 past its end."""
-    at = start.copy()
-    out = np.zeros((len(places), len(start)), np.uint64)
-    k = 0
-    for step in range(int(places[-1]) + 1):
-        inside = at < stop
-        now = np.where(inside, words[np.minimum(at, len(words) - 1)], np.uint64(0))
-        while k < len(places) and places[k] == step:
-            out[k] = now
-            k += 1
-        move = mix64(now ^ np.uint64((salt * 1_000_003 + step * 7919) & 0xFFFFFFFFFFFF)) >> np.uint64(63)
-        at = at + move.astype(np.int64)
-    return out
-
+def embed(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """LSH keys [table, row] of word sequences (rows of one length) from the CGK walks of all tables.
 
-def key_of(sample: np.ndarray) -> np.ndarray:
-    h = np.zeros(sample.shape[1], np.uint64)
-    for row in sample:
-        h = mix64(h * np.uint64(31) + row)
-    return h
+    ``places[t]`` are the sampled steps of table t. The random bit of (table, step, word) is a bit of the word's hash
+    under the table's salt, 64 steps from each hash. A walk past the end stays on an empty word.
+    """
+    tables, n = len(places), rows.shape[1]
+    text = np.concatenate((rows, np.zeros((len(rows), 1), np.uint64)), axis=1)
+    flat = text.ravel()
+    base = (np.arange(len(rows)) * (n + 1))[None, :]
+    salt = mix64(np.arange(1, 2 * tables * (2 * n // 64 + 1) + 1, dtype=np.uint64)).reshape(-1, tables)
+    table_at = (np.arange(tables) * flat.size)[:, None]
+    at = np.zeros((tables, len(rows)), np.int64)
+    key = np.zeros((tables, len(rows)), np.uint64)
+    for step in range(int(places.max()) + 1):
+        if step % 64 == 0:
+            bits = mix64(flat[None, :] ^ salt[step // 64][:, None]).ravel()
+        idx = base + at
+        for t in np.flatnonzero((places == step).any(axis=1)):
+            key[t] = mix64(key[t] * np.uint64(31) + flat[idx[t]])
+        move = (bits[table_at + idx] >> np.uint64(step % 64)) & np.uint64(1)
+        at = np.minimum(at + move.astype(np.int64), n)
+    return key
 
 
 def edit_distance(items: np.ndarray, n: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,16 +120,14 @@ class Items:
             self.seeds[q] = (a[:, 0].astype(np.uint64), a[:, 1:].astype(np.int64))
         # windows are embedded once for each distinct item size; keys are looked up among the items of that size
         rng = np.random.default_rng(cfg.seed)
-        self.samples = {int(x): [np.sort(rng.choice(3 * int(x), min(cfg.sampled, 3 * int(x)), replace=False))
-                                 for _ in range(cfg.tables)] for x in np.unique(self.n)}
+        self.samples = {int(x): np.stack([
+            np.sort(rng.choice(2 * int(x), min(cfg.sampled, 2 * int(x)), replace=False)) for _ in range(cfg.tables)])
+            for x in np.unique(self.n)}  # a walk passes a sequence's end after 2n steps, on average
         self.by_size = {}
-        for x in self.samples:
+        for x, places in self.samples.items():
             of = np.flatnonzero(self.n == x)
-            flat = np.concatenate([self.words[i] for i in of])
-            start = np.arange(len(of), dtype=np.int64) * x
             keys = []
-            for t, places in enumerate(self.samples[x]):
-                h = key_of(embed(flat, start, start + x, places, t))
+            for h in embed(np.stack([self.words[i] for i in of]), places):
                 order = np.argsort(h, kind="stable")
                 keys.append((h[order], of[order]))
             self.by_size[x] = keys
@@ -180,12 +180,14 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int]]:
     out = []
     for size, start in windows(words, first, items).items():
         doc = np.searchsorted(first, start, side="right") - 1
-        stop = np.minimum(start + size, first[doc + 1])
-        pairs = []
-        for t, (places, (keys, of)) in enumerate(zip(items.samples[size], items.by_size[size])):
-            h = key_of(embed(words, start, stop, places, t))
-            w, hit = spread(np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right"))
-            pairs.append(hit * len(items.n) + of[w])
+        pairs = [np.zeros(0, np.int64)]
+        for at in range(0, len(start), 1024):
+            place = start[at:at + 1024, None] + np.arange(size)
+            inside = place < first[doc[at:at + 1024] + 1][:, None]
+            text = np.where(inside, words[np.minimum(place, len(words) - 1)], np.uint64(0))
+            for h, (keys, of) in zip(embed(text, items.samples[size]), items.by_size[size]):
+                w, hit = spread(np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right"))
+                pairs.append((at + hit) * len(items.n) + of[w])
         pairs = np.unique(np.concatenate(pairs))
         k = int(items.k[items.n == size][0])
         for at in range(0, len(pairs), 4096):

@@ -155,7 +155,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "lang_pred", "score", "langs")
 
 
-def keep_languages(docs: DataFrame, langs: list[str], model: np.ndarray, min_score: float = 0.5,
+def keep_languages(docs: DataFrame, langs: list[str], model: np.ndarray, min_score: float = 0.4,
                    cfg: LangConfig = LangConfig()) -> DataFrame:
     """Rows of ``docs`` (all columns) with a language whose share reaches ``min_score``; no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from .decontam import op1_decontaminate
 from .langid import op2_langid
+from .packing import op6_pack
+from .pii import op5_pii
 from .quality import op3_quality
 from .rules import op7_quality_rules
 from .secrets import op10_secrets
+from .simhash import op8_simhash
 from .toxicity import op9_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op2_langid, op3_quality, op7_quality_rules, op9_toxicity, op10_secrets)}
+    op1_decontaminate, op2_langid, op3_quality, op5_pii, op6_pack, op7_quality_rules, op8_simhash,
+    op9_toxicity, op10_secrets)}
+
+#: none yet: the others are tested against brute force
+SQL: dict[str, str] = {}
