@@ -10,11 +10,12 @@ from .quality import op3_quality
 from .rules import op7_quality_rules
 from .secrets import op10_secrets
 from .simhash import op8_simhash
+from .substrings import op4_substring_dedup
 from .toxicity import op9_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_langid, op3_quality, op5_pii, op6_pack, op7_quality_rules, op8_simhash,
-    op9_toxicity, op10_secrets)}
+    op1_decontaminate, op2_langid, op3_quality, op4_substring_dedup, op5_pii, op6_pack, op7_quality_rules,
+    op8_simhash, op9_toxicity, op10_secrets)}
 
 #: none yet: the others are tested against brute force
 SQL: dict[str, str] = {}
