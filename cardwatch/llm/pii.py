@@ -224,7 +224,7 @@ def replace(docs: DataFrame, cfg: PiiConfig = PiiConfig(), counts: bool = False)
     spark, key = docs.sparkSession, cfg.key
     of_docs = keep(spark, entities(docs), "entities")
     again = redraws(of_docs.select("kind", "canon").distinct(), cfg)
-    cols = docs.columns
+    cols, redrawn = docs.columns, again is not None
     src = docs
     if again is not None:
         # the redraws of each document's own entities; Spark broadcasts them if they are small enough
@@ -239,7 +239,7 @@ def replace(docs: DataFrame, cfg: PiiConfig = PiiConfig(), counts: bool = False)
     def run(batches):
         for b in chunks(batches, at):
             texts = b.column(at).to_pylist()
-            more = b.column(len(cols)).to_pylist() if again is not None else [None] * len(texts)
+            more = b.column(len(cols)).to_pylist() if redrawn else [None] * len(texts)
             found = [mentions(t) for t in texts]
             new = [rewrite(t, f, key, {(x["kind"], x["canon"]): x["attempt"] for x in r} if r else None) if f else t
                    for t, f, r in zip(texts, found, more)]
