@@ -43,8 +43,8 @@ class SubstringConfig:
     window: int = 50
     gram: int = 24                 # window - gram + 1 is at most 32, the bits of an answer
     shard_bytes: int = 4 << 20
-    bucket_bytes: int = 8 << 20    # input bytes for each bucket, about
-    block_bytes: int = 3 << 20     # string bytes of one suffix array
+    bucket_bytes: int = 6 << 20    # input bytes for each bucket, about
+    block_bytes: int = 4 << 20     # string bytes of one suffix array
     hot: int = 20_000
 
 
@@ -191,14 +191,14 @@ class Shard:
         return out
 
 
-def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by their first ``depth`` bytes, and their group numbers, by Larsson-Sadakane refinement.
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """All suffixes in order, by Larsson-Sadakane refinement.
 
     Ranks by the first 8 bytes are refined by the rank of a later suffix, doubling the sorted depth; only the
-    groups that are not single any more are sorted again.
+    groups of several suffixes are sorted again. (Kasai's walk needs the full order, not one to a window's depth.)
     """
     n = len(data)
-    pad = np.concatenate((data, np.zeros(depth + 8, np.uint8))).astype(np.uint64)
+    pad = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = (key << np.uint64(8)) | pad[j:j + n]
@@ -209,25 +209,24 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
     new = np.ones(n, bool)
     new[1:] = key[sa[1:]] != key[sa[:-1]]
-    rank = np.empty(n + depth, np.int64)
-    rank[n:] = -1
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1  # past the end
     rank[sa] = first_of_group(new)
     h = 8
-    while h < depth:
-        step = min(h, depth - h)
+    while True:
         open_ = ~(new & np.append(new[1:], True))  # places in groups of two or more
         place = np.flatnonzero(open_)
         if not len(place):
             break
         s = sa[place]
-        both = (rank[s] << 32) | (rank[s + step] + 1)
+        both = (rank[s] << 32) | (rank[np.minimum(s + h, n)] + 1)
         order = np.argsort(both, kind="stable")
         sa[place] = s[order]
         both = both[order]
         new[place[1:]] |= both[1:] != both[:-1]
         rank[sa[place]] = first_of_group(new)[place]
-        h += step
-    return sa, rank[:n]
+        h *= 2
+    return sa
 
 
 def kasai(data: np.ndarray, sa: np.ndarray, cap: int, lanes: int = 4096) -> np.ndarray:
@@ -260,7 +259,7 @@ def kasai(data: np.ndarray, sa: np.ndarray, cap: int, lanes: int = 4096) -> np.n
     return lcp
 
 
-def block_windows(texts: list[bytes], least: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def block_windows(texts: list[bytes], least: np.ndarray, w: int, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct windows of a block (sorted), smallest doc_id of each, and each window's place, in text order."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     lens = np.array([len(t) for t in texts], np.int64)
@@ -268,20 +267,24 @@ def block_windows(texts: list[bytes], least: np.ndarray, w: int) -> tuple[np.nda
     n = lens - w + 1
     inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     at = np.repeat(start, n) + inside
-    sa, _ = suffix_array(data, w)
+    sa = suffix_array(data)
     cls = np.empty(len(data), np.int64)
     cls[sa] = np.cumsum(kasai(data, sa, w) < w)  # suffixes with w bytes in common are one class, in sorted order
-    seen, place = np.unique(cls[at], return_inverse=True)
-    small = np.full(len(seen), LAST)
+    seen = np.zeros(len(data) + 1, bool)
+    seen[cls[at]] = True
+    place = (np.cumsum(seen) - 1)[cls[at]]
+    small = np.full(int(seen.sum()), LAST)
     np.minimum.at(small, place, np.repeat(least, n))
-    one = np.empty(len(seen), np.int64)
+    if alone:  # no other block to merge with
+        return np.zeros(0, f"S{w}"), small, place
+    one = np.empty(len(small), np.int64)
     one[place] = at
     rows = np.lib.stride_tricks.sliding_window_view(data, w)[one]
     return np.ascontiguousarray(rows).view(f"S{w}").ravel(), small, place
 
 
-def smallest_docs(texts: list[bytes], least: np.ndarray, cfg: SubstringConfig) -> list[np.ndarray]:
-    """For each text the smallest doc_id of each of its windows.
+def smallest_docs(texts: list[bytes], least: np.ndarray, cfg: SubstringConfig) -> np.ndarray:
+    """The smallest doc_id of each window of the texts, one text after the other.
 
     Blocks have suffix arrays of their own; their sorted windows are merged by binary search. (Fixed-width byte
     strings compare exactly: trailing zero bytes count as padding of the same width.)
@@ -292,19 +295,17 @@ def smallest_docs(texts: list[bytes], least: np.ndarray, cfg: SubstringConfig) -
     blocks, a = [], 0
     for b in np.unique(np.minimum(cuts, len(texts))).tolist():
         if b > a:
-            blocks.append((a, b, *block_windows(texts[a:b], least[a:b], w)))
+            blocks.append(block_windows(texts[a:b], least[a:b], w, not a and b == len(texts)))
             a = b
-    merged, small = blocks[0][2], blocks[0][3].copy()
-    for _, _, keys, low, _ in blocks[1:]:
+    if len(blocks) == 1:
+        return blocks[0][1][blocks[0][2]]
+    merged, small = blocks[0][0], blocks[0][1].copy()
+    for keys, low, _ in blocks[1:]:
         at = np.searchsorted(merged, keys)
         hit = merged[np.minimum(at, len(merged) - 1)] == keys
         small[at[hit]] = np.minimum(small[at[hit]], low[hit])
         merged, small = np.insert(merged, at[~hit], keys[~hit]), np.insert(small, at[~hit], low[~hit])
-    out: list[np.ndarray] = []
-    for a, b, keys, _, place in blocks:
-        low = (small[np.searchsorted(merged, keys)] if len(blocks) > 1 else small)[place]
-        out += np.split(low, np.cumsum([len(t) - w + 1 for t in texts[a:b]])[:-1])
-    return out
+    return np.concatenate([small[np.searchsorted(merged, keys)][place] for keys, _, place in blocks])
 
 
 def shards(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFrame:
@@ -373,15 +374,14 @@ def dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFram
         bits = [np.packbits(np.concatenate((many[i], hot[i]))).tobytes() for i in np.split(inv, ends[:-1])]
         return pa.table({"shard": t.column("shard"), "bucket": t.column("bucket"), "bits": pa.array(bits, binary)})
 
-    def answered(answer: DataFrame) -> DataFrame:
+    def answered(answer: DataFrame, name: str) -> DataFrame:
         """Shards with their answers; a shard has one for each bucket that it asked, so the list is its own size."""
-        a = answer.groupBy(F.col("shard").alias("_s")).agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+        a = answer.groupBy(F.col("shard").alias("_s")).agg(F.collect_list(F.struct(
+            *[c for c in answer.columns if c != "shard"])).alias(name))
         return cut.join(a, cut.shard == a["_s"], "left").drop("_s")
 
     known = keep(spark, cut.mapInArrow(anchors, "bucket long, shard long, keys binary, info binary")
                  .groupBy("bucket").applyInArrow(shared, "shard long, bucket long, bits binary"), "anchors")
-    with_known = keep(spark, answered(known).select("shard", "answers"), "known")
-
     def asked(r: dict, s: Shard):
         return s.strings({x["bucket"]: x["bits"] for x in r["known"] or []}, buckets, cfg)
 
@@ -389,14 +389,19 @@ def dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFram
         for r in _rows(batches):
             out = []
             s = Shard(r, cfg)
-            for b, (texts, least, _) in asked(r, s).items():
+            for b, (texts, least, users) in asked(r, s).items():
+                place, a, n, doc = np.array(users, np.int64).T
+                least = np.array(least, np.int64)
+                whole = least[place] < s.ids[doc]  # the shard itself has the string in a smaller document
                 out.append((b, s.id, squeeze_bytes(b"".join(texts)),
                             squeeze_bytes(np.array([len(x) for x in texts], np.uint16).tobytes()),
-                            squeeze_bytes(np.array(least, np.int64).tobytes())))
+                            squeeze_bytes(least.tobytes()),
+                            squeeze_bytes(np.concatenate((place, np.diff(a, prepend=0), 2 * n + whole))
+                                          .astype(np.int32).tobytes())))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), binary, binary, binary))],
-                    names=["bucket", "shard", "texts", "lens", "least"])
+                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), *[binary] * 4))],
+                    names=["bucket", "shard", "texts", "lens", "least", "users"])
 
     def judged(key, t):
         own, texts, least = [], {}, []
@@ -414,40 +419,39 @@ def dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFram
                     least[p] = d
                 places.append(p)
             own.append((places, low))
-        small = smallest_docs(list(texts), np.array(least, np.int64), cfg)
+        small = np.append(smallest_docs(list(texts), np.array(least, np.int64), cfg), np.full(32, LAST))
+        count = np.array([len(x) - cfg.window + 1 for x in texts], np.int64)
+        first = np.cumsum(count) - count
         bits = []
         for places, low in own:
-            mask = np.zeros(len(places), np.uint32)
-            for i, (p, d) in enumerate(zip(places, low.tolist())):
-                gone = small[p] < d
-                if gone.any():
-                    mask[i] = int(np.left_shift(gone.astype(np.uint64), np.arange(len(gone), dtype=np.uint64)).sum())
+            mask, at, n = np.zeros(len(places), np.uint32), first[places], count[places]
+            for j in range(int(n.max())):
+                mask |= ((j < n) & (small[at + j] < low)).astype(np.uint32) << np.uint32(j)
             bits.append(squeeze_bytes(mask.tobytes()))
-        return pa.table({"shard": t.column("shard"), "bucket": t.column("bucket"), "bits": pa.array(bits, binary)})
+        return pa.table({"shard": t.column("shard"), "users": t.column("users"), "bits": pa.array(bits, binary)})
 
-    k = with_known.select(F.col("shard").alias("_k"), F.col("answers").alias("known"))
-    asking = cut.join(k, cut.shard == k["_k"], "left").drop("_k")
-    verdict = keep(spark, asking.mapInArrow(
-        strings, "bucket long, shard long, texts binary, lens binary, least binary")
-        .groupBy("bucket").applyInArrow(judged, "shard long, bucket long, bits binary"), "verdict")
+    verdict = keep(spark, answered(known, "known").mapInArrow(
+        strings, "bucket long, shard long, texts binary, lens binary, least binary, users binary")
+        .groupBy("bucket").applyInArrow(judged, "shard long, users binary, bits binary"), "verdict")
 
     def applied(batches):
         for r in _rows(batches):
-            s = Shard(r, cfg)
-            bits = {x["bucket"]: x["bits"] for x in r["answers"] or []}
-            edge = np.zeros(len(s.bytes) + 1, np.int32)
-            for b, (_, least, users) in asked(r, s).items():
-                place, a, n, doc = np.array(users, np.int64).T
-                mask = np.frombuffer(unsqueeze_bytes(bits[b]), np.uint32)[place].astype(np.uint64)
-                mask[np.array(least, np.int64)[place] < s.ids[doc]] = 0xFFFFFFFF
+            raw = unsqueeze_bytes(r["data"])
+            ids, lens = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["lens"], np.int64)
+            edge = np.zeros(len(raw) + 1, np.int32)
+            for x in r["answers"] or []:
+                place, a, n = np.frombuffer(unsqueeze_bytes(x["users"]), np.int32).reshape(3, -1).astype(np.int64)
+                a, whole, n = np.cumsum(a), n & 1 > 0, n >> 1
+                mask = np.frombuffer(unsqueeze_bytes(x["bits"]), np.uint32)[place].astype(np.uint64)
+                mask[whole] = 0xFFFFFFFF
                 for j in range(32):
                     gone = a[(j < n) & (mask >> np.uint64(j) & np.uint64(1) > 0)] + j
                     np.add.at(edge, gone, 1)
                     np.add.at(edge, gone + cfg.window, -1)
             gone = np.cumsum(edge[:-1]) > 0
-            data = np.frombuffer(s.bytes, np.uint8)
+            data = np.frombuffer(raw, np.uint8)
             out = []
-            for i, a, n in zip(s.ids.tolist(), s.start.tolist(), s.lens.tolist()):
+            for i, a, n in zip(ids.tolist(), (np.cumsum(lens) - lens).tolist(), lens.tolist()):
                 g = gone[a:a + n]
                 removed = int(g.sum())
                 spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum()) if removed else 0
@@ -457,8 +461,7 @@ def dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    both = answered(verdict).join(k, F.col("shard") == k["_k"], "left").drop("_k")
-    return both.mapInArrow(applied, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return answered(verdict, "answers").mapInArrow(applied, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
