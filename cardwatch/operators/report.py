@@ -20,10 +20,16 @@ def dedup(report: DataFrame) -> DataFrame:
 
 
 def export(report: DataFrame, path: str, fmt: str = "csv", partition_by: str | None = "report_dt") -> None:
-    """Write the report; CSV gets a header, both are partitioned by report date."""
-    w = report.select(*ALERT_COLS).write.mode("overwrite")
+    """Write the whole report anew; CSV gets a header.
+
+    The folders are by report date (``<column>_day=...``); the files hold all six columns.
+    """
+    df = report.select(*ALERT_COLS)
+    if partition_by:
+        df = df.withColumn(f"{partition_by}_day", df[partition_by])
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(f"{partition_by}_day")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -277,15 +277,17 @@ def city_amount_alerts(tx: DataFrame, hist: DataFrame, runs: DataFrame, chain: D
     hit4 = hit4 & amount_chain(F.col("amt"), [F.col(f"_a{i}") for i in range(1, n + 1)], mode)
     t = t.withColumn("_hit4", F.coalesce(hit4, F.lit(False)))
     h = hist.filter(F.col("deleted_flg") == 0).select(
-        F.col("terminal_id"), "terminal_city", "effective_from", F.to_date("effective_to").alias("_to_day"))
+        F.col("terminal_id"), "terminal_city", "effective_from", F.to_date("effective_to").alias("_to_day"),
+        F.lit(True).alias("_matched"))
     cond = ((F.col("terminal") == F.col("terminal_id")) & (F.col("effective_from") <= F.to_date("transe_date"))
             & (F.to_date("transe_date") <= F.col("_to_day")))
     j = dim_join(t, h, cond, "left", check=hist_check)
-    w3 = Window.partitionBy("card_num", "_bucket", F.col("terminal_city").isNotNull()).orderBy(
+    # a version without a city is a previous row all the same; only operations without a version are not
+    w3 = Window.partitionBy("card_num", "_bucket", F.col("_matched").isNotNull()).orderBy(
         "transe_date", "trans_id", "terminal_city")
     j = j.withColumns({"_prev_city": F.lag("terminal_city").over(w3),
                        "_prev_ts": F.lag("transe_date").over(w3)})
-    hit3 = (F.col("terminal_city").isNotNull() & (F.col("_prev_city") != F.col("terminal_city"))
+    hit3 = (F.col("_matched").isNotNull() & (F.col("_prev_city") != F.col("terminal_city"))
             & (seconds_between("transe_date", "_prev_ts") <= cfg.city_max_gap_s))
     j = home_rows(j)
     ev = F.array_compact(F.array(

@@ -142,7 +142,7 @@ def merge_day(history: DataFrame, snapshot: DataFrame, day, key: str, attrs: Seq
     open_ = history.filter(is_open)
     s = snapshot.select(key, *attrs)
     if semantics == Semantics.INTENDED:
-        s = s.filter(F.col(key).isNotNull())
+        s = s.filter(F.col(key).isNotNull()).dropDuplicates([key, *attrs])  # exact copies are one row
     s = s.select(F.col(key).alias("_s_key"), *[F.col(a).alias(f"_s_{a}") for a in attrs],
                  F.lit(True).alias("_in_s"))
     o = open_.select(F.col(key).alias("_h_key"), *[F.col(a).alias(f"_h_{a}") for a in attrs],
@@ -156,9 +156,11 @@ def merge_day(history: DataFrame, snapshot: DataFrame, day, key: str, attrs: Seq
         # NOT IN semantics: a NULL key in the snapshot hides every deletion, and
         # a NULL-key row is new only while the history is still empty.
         snap_has_null = snapshot.filter(F.col(key).isNull()).limit(1).count() > 0
+        # A NULL key in the history hides every new row, and is itself never deleted.
         hist_empty = history.limit(1).count() == 0
-        delete_ok = F.lit(not snap_has_null)
-        new_ok = F.col("_s_key").isNotNull() | F.lit(hist_empty)
+        hist_has_null = history.filter(F.col(key).isNull()).limit(1).count() > 0
+        delete_ok = F.lit(not snap_has_null) & F.col("_h_key").isNotNull()
+        new_ok = (F.col("_s_key").isNotNull() & F.lit(not hist_has_null)) | F.lit(hist_empty)
     else:
         delete_ok, new_ok = F.lit(True), F.lit(True)
     kind = (F.when(in_s & ~in_h & new_ok, NEW)

@@ -44,7 +44,9 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet folder, or None when nothing was committed there yet."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -231,24 +233,31 @@ class Warehouse:
         by_feed: dict[str, list[str]] = {}
         for _, _, feed, name in sorted(files, key=lambda p: (p[1], p[3])):
             by_feed.setdefault(feed, []).append(name)
+        # a day's partitions are written anew from all its files, so a further file of a loaded day adds to it
+        done = self.manifest()
+        before = {} if done is None else {
+            r["file_name"]: r["feed"] for r in done.filter(F.col("file_date") == F.lit(day)).collect()}
+        fresh = {f: [n for n in names if n not in before] for f, names in by_feed.items()}
+        for name, feed in sorted(before.items()):
+            if feed in by_feed and name not in by_feed[feed]:
+                by_feed[feed].append(name)
         # read exactly this day's files: the folder keeps every earlier file as well
         files_of = {f: [f"{folder.rstrip('/')}/{n}" for n in names] for f, names in by_feed.items()}
         if "passport" in by_feed:
             fd = feeds.read_blacklist(self.spark, files_of["passport"]).filter(F.col("file_date") == F.lit(day))
             audit_rows.append(self.load_blacklist(day, fd))
-            self._record(by_feed["passport"], "passport", day)
         if "terminals" in by_feed:
             sn = feeds.read_terminals(self.spark, files_of["terminals"]).filter(F.col("snap_date") == F.lit(day))
             audit_rows.append(self.load_terminals(day, sn.drop("snap_date")))
-            self._record(by_feed["terminals"], "terminals", day)
         if "transactions" in by_feed:
             good, bad = feeds.read_transactions(self.spark, files_of["transactions"])
             good = good.filter(F.col("file_date") == F.lit(day))
             bad.withColumn("file_date", F.lit(day).cast("date")).write.mode("overwrite") \
                .option("partitionOverwriteMode", "dynamic").partitionBy("file_date").parquet(self.path("rejects"))
             audit_rows.append(self.load_transactions(day, good))
-            self._record(by_feed["transactions"], "transactions", day)
         self.write_audit(audit_rows, day)
+        for feed, names in fresh.items():  # last, so that a crash before leaves the files pending
+            self._record(names, feed, day)
 
     def export_report(self, out: str, fmt: str = "csv") -> None:
         report.export(self.alerts().select(*ALERT_COLS), out, fmt)

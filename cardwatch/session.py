@@ -27,6 +27,13 @@ _LOCAL_DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "cardwatch") -> SparkSession:
+    given = SparkSession.getActiveSession()
+    if given is not None:  # a session that is there keeps every setting it has
+        for k, v in _LOCAL_DEFAULTS.items():
+            if k.startswith("spark.sql.") and given.conf.get(k, None) is None:
+                given.conf.set(k, v)
+        checkpoint_dir(given)
+        return given
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)

@@ -33,6 +33,9 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
     out = files.withColumn("feed", feed_of_file_name("file_name")).withColumn(
         "file_date", date_from_file_name("file_name")).withColumn("feed_order", _feed_order())
     reason = F.when(F.col("feed").isNull(), "unknown prefix").when(F.col("file_date").isNull(), "no date in name")
+    # passport and terminal feeds come as CSV or Parquet; anything else must not pass as an empty feed
+    table_feed = F.col("feed").isin("passport", "terminals")
+    reason = reason.when(table_feed & ~F.col("file_name").rlike(r"\.(csv|parquet)$"), "unreadable file type")
     return out.withColumn("reject_reason", reason)
 
 
