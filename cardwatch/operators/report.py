@@ -19,17 +19,14 @@ def dedup(report: DataFrame) -> DataFrame:
     return report.dropDuplicates(ALERT_COLS)
 
 
-def export(report: DataFrame, path: str, fmt: str = "csv", partition_by: str | None = "report_dt") -> None:
+def export(report: DataFrame, path: str, fmt: str = "csv", partition_by: str | None = None) -> None:
     """Write the whole report anew; CSV gets a header.
 
-    The folders are by report date (``<column>_day=...``); the files hold all six columns.
+    The files hold all six columns. With ``partition_by`` that column moves into the folder names.
     """
-    df = report.select(*ALERT_COLS)
+    w = report.select(*ALERT_COLS).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
-        df = df.withColumn(f"{partition_by}_day", df[partition_by])
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(f"{partition_by}_day")
+        w = w.partitionBy(partition_by)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
