@@ -15,6 +15,8 @@ from cardwatch.session import checkpoint_dir
 
 #: Text bytes that one vectorised step holds at a time inside a Python worker.
 CHUNK_BYTES = 1 << 20
+#: Rows of a training sample's ids and labels that may be broadcast (two numbers a row).
+SAMPLE_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +57,18 @@ def sampled(df: DataFrame, by: str, bound: int) -> DataFrame:
     return df.filter(cond)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, by: str, bound: int) -> DataFrame:
+    """doc_id, text and ``by`` of the documents with a label in the sample of ``labels`` (see ``sampled``).
+
+    The sampled ids are written and counted. They are broadcast, so that the texts stay where they are, if there
+    are no more than SAMPLE_ROWS; more come about only by ids with very many labels, and Spark picks the join then.
+    """
+    some = keep(docs.sparkSession, sampled(labels, by, bound).select(F.col("doc_id").alias("_id"), by), "sample-ids")
+    side = F.broadcast(some) if some.count() <= SAMPLE_ROWS else some
+    d = docs.select("doc_id", "text")
+    return d.join(side, F.col("doc_id") == F.col("_id")).select("doc_id", "text", by)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker process (functions are pickled by value)."""
     return sys.__dict__.setdefault("_cardwatch_llm", {}).setdefault(name, {})

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, codes_of, column, crc_mod, letter_table, run_hashes, runs, sampled, table
+from .common import chunks, codes_of, column, crc_mod, labelled_sample, letter_table, run_hashes, runs, table
 
 SYMBOLS = "#*$%&|<>"
 STOPS = ".!?…:;\"'”»)"
@@ -151,9 +151,7 @@ def extract(docs: DataFrame, extra: str | None = None) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()) -> QualityModel:
     """Model of the labelled rows that are not held out, from a sample bounded by ``train_per_label``."""
     lab = labels.select("doc_id", F.col("quality").alias("y")).filter("y in (0, 1)").filter(crc_mod("doc_id", 5) != 0)
-    some = sampled(lab, "y", cfg.train_per_label).withColumnRenamed("doc_id", "_id")
-    d = docs.select("doc_id", "text")
-    rows = extract(d.join(some, d.doc_id == some["_id"]).select("doc_id", "text", "y"), "y").toPandas()
+    rows = extract(labelled_sample(docs, lab, "y", cfg.train_per_label), "y").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.stack(rows.x.to_list()) if len(rows) else np.zeros((0, WIDTH))
     return fit_ranking(x, rows.y.to_numpy(), cfg)
