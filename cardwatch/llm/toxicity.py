@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, codes_of, column, crc_mod, keep, letter_table, mix64, run_hashes, runs, sampled, table
+from .common import chunks, codes_of, column, crc_mod, keep, labelled_sample, letter_table, mix64, run_hashes, runs, table
 
 
 @dataclass(frozen=True)
@@ -191,9 +191,8 @@ def fit_ordinal(row, col, weight: np.ndarray, grade: np.ndarray, width: int, cfg
 def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> ToxicModel:
     """Model of the labelled rows that are not held out (crc32 of doc_id modulo 5 is not 0), from a bounded sample."""
     lab = labels.select("doc_id", F.col("toxic").alias("y")).filter("y in (0, 1)").filter(crc_mod("doc_id", 5) != 0)
-    some = sampled(lab, "y", cfg.train_per_label).withColumnRenamed("doc_id", "_id")
-    d = docs.select("doc_id", "text")
-    sample = d.join(some, d.doc_id == some["_id"]).select(F.col("doc_id").cast("long"), "text", F.col("y").cast("long"))
+    sample = labelled_sample(docs, lab, "y", cfg.train_per_label)
+    sample = sample.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("long"))
     sample = keep(docs.sparkSession, sample, "toxic-sample")
     none = ToxicModel(*[np.zeros(0, np.uint64)] * 2, np.zeros(0), np.zeros(0))
     n = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
