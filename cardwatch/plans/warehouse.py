@@ -219,7 +219,11 @@ class Warehouse:
     # ------------------------------------------------------------ whole folder
     def load_folder(self, folder: str) -> list[_dt.date]:
         """Load every pending feed file of ``folder`` day by day; returns the days loaded."""
-        found = feeds.pending(feeds.discover(self.spark, folder), self.manifest())
+        return self.load_files(folder, feeds.discover(self.spark, folder))
+
+    def load_files(self, folder: str, found: DataFrame) -> list[_dt.date]:
+        """Load the usable files of ``found`` (see ``feeds.classify``) that the manifest lacks, day by day."""
+        found = feeds.pending(found, self.manifest())
         plan = [(r["file_date"], r["feed_order"], r["feed"], r["file_name"])
                 for r in found.select("file_date", "feed_order", "feed", "file_name").collect()]
         # the file list is metadata (one row per file), not data

@@ -27,9 +27,13 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
 
     Only file metadata is read (the binary content column is pruned).
     """
-    files = (spark.read.format("binaryFile").load(folder)
-             .select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                     F.col("length"), F.col("modificationTime")))
+    return classify(spark.read.format("binaryFile").load(folder))
+
+
+def classify(found: DataFrame) -> DataFrame:
+    """File metadata (the binaryFile columns) -> name, feed, batch date, order, and a reason when unusable."""
+    files = found.select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                         F.col("length"), F.col("modificationTime"))
     out = files.withColumn("feed", feed_of_file_name("file_name")).withColumn(
         "file_date", date_from_file_name("file_name")).withColumn("feed_order", _feed_order())
     reason = F.when(F.col("feed").isNull(), "unknown prefix").when(F.col("file_date").isNull(), "no date in name")

@@ -1,48 +1,28 @@
 """Incremental load of the feed folder with Structured Streaming.
 
-The transactions feed is a file-source stream (one file per micro-batch,
-so batches stay in file order); each micro-batch goes through
-``foreachBatch`` to the same warehouse load as the batch path. Before a
-day's operations are loaded, the day's passport and terminal files (and any
-earlier ones still pending) are applied, which keeps the order passports,
-terminals, transactions. The stream's checkpoint (its record of processed
-files) lives under the session's shared ``spark.checkpoint.dir``; a
-restarted query resumes from it, and a replayed micro-batch overwrites the
-same day partitions, so a lost executor or driver never doubles the facts.
+The stream watches the folder's file metadata (names, not contents) for all three feeds. Each micro-batch is the
+list of the files that came in; ``foreachBatch`` hands it to the warehouse's day-by-day load, the same one that the
+batch path runs. So the order (batch date, then passports, terminals, transactions), the reject store, refused
+files and further files of a loaded day are the same in both, and only the new names are listed, never the whole folder.
+The stream's checkpoint (its record of processed files) lives under the session's shared ``spark.checkpoint.dir``;
+a restarted query resumes from it. A replayed micro-batch skips the files that the manifest has and rewrites the day
+partitions of the others, so a lost executor or driver never doubles the facts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cardwatch.plans.warehouse import Warehouse
-from cardwatch.schemas import TX_TEXT
 from cardwatch.session import checkpoint_dir
-from cardwatch.functions.text import date_from_file_name
 from cardwatch.sources import feeds
 
-
-def _apply_dimensions(wh: Warehouse, folder: str, up_to) -> None:
-    found = feeds.pending(feeds.discover(wh.spark, folder), wh.manifest())
-    found = found.filter(F.col("feed").isin("passport", "terminals") & (F.col("file_date") <= F.lit(up_to)))
-    plan = [(r["file_date"], r["feed_order"], r["feed"], r["file_name"])
-            for r in found.select("file_date", "feed_order", "feed", "file_name").collect()]
-    for day in sorted({p[0] for p in plan}):
-        wh.load_day(folder, day, [p for p in plan if p[0] == day])
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _process(wh: Warehouse, folder: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        good, _bad = feeds.normalize_tx_frame(batch)
-        # file names of this micro-batch: one per file (maxFilesPerTrigger), not data
-        named = (batch.select("file_name").distinct()
-                 .withColumn("file_date", date_from_file_name("file_name")).collect())
-        for day in sorted({r["file_date"] for r in named if r["file_date"] is not None}):
-            _apply_dimensions(wh, folder, day)
-            audit = wh.load_transactions(day, good.filter(F.col("file_date") == F.lit(day)))
-            wh.write_audit([audit], day)
-            wh._record([r["file_name"] for r in named if r["file_date"] == day], "transactions", day)
+        wh.load_files(folder, feeds.classify(batch))
     return run
 
 
@@ -50,10 +30,7 @@ def start(spark: SparkSession, wh: Warehouse, folder: str, query_name: str = "ca
           checkpoint: str | None = None, available_now: bool = True):
     """Start the stream; with ``available_now`` it stops once the folder is drained."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-    src = (spark.readStream.schema(TX_TEXT).option("sep", ";").option("header", True)
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-           .option("maxFilesPerTrigger", 1).option("pathGlobFilter", "transactions*")
-           .csv(folder).withColumn("file_name", F.col("_metadata.file_name")))
+    src = spark.readStream.format("binaryFile").schema(FILES).load(folder)
     w = (src.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
          .foreachBatch(_process(wh, folder)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
