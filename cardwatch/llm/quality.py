@@ -2,8 +2,9 @@
 
 A document's strength is a linear score of its text features. Preference pairs (a label 1 document beats a label 0
 document) fit the weights: logistic loss on the feature differences, ridge-penalised, by Newton steps. The decision
-threshold is a quantile of the scores: the share of label 0 among the labelled rows. The reported score is the
-logistic of the distance to that threshold, shifted so that the threshold itself gets ``cut``.
+threshold is a quantile of the scores: the share of label 0 among the labelled rows. The weights come from a bounded
+sample; the share and the quantile are exact, over all labelled rows that are not held out. The reported score is
+the logistic of the distance to that threshold, shifted so that the threshold itself gets ``cut``.
 
 Defined results: NULL text counts as empty; empty texts get the score of their (zero) features; without rows of both
 labels every score is 0.5; NULL labels are not learned from; several labels of a doc_id are several training rows;
@@ -13,14 +14,14 @@ are read, so other columns and clashing names do no harm.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, codes_of, column, crc_mod, labelled_sample, letter_table, run_hashes, runs, table
+from .common import chunks, codes_of, column, crc_mod, keep, labelled_sample, letter_table, run_hashes, runs, table
 
 SYMBOLS = "#*$%&|<>"
 STOPS = ".!?…:;\"'”»)"
@@ -43,11 +44,10 @@ class QualityModel:
     threshold: float
     cut: float
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def strength(self, x: np.ndarray) -> np.ndarray:
         if not len(self.weights):
-            return np.full(len(x), 0.5)
-        s = ((x - self.mean) / self.scale) @ self.weights - self.threshold + np.log(self.cut / (1 - self.cut))
-        return 1 / (1 + np.exp(-np.clip(s, -500, 500)))
+            return np.zeros(len(x))
+        return ((x - self.mean) / self.scale) @ self.weights
 
 
 def _repeated(doc: np.ndarray, h: np.ndarray, docs: int) -> np.ndarray:
@@ -118,7 +118,7 @@ def pairs(y: np.ndarray, per_loser: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_ranking(x: np.ndarray, y: np.ndarray, cfg: QualityConfig) -> QualityModel:
-    """Bradley-Terry weights from the pairs of the rows, and the quantile threshold."""
+    """Bradley-Terry weights from the pairs of the rows; the threshold is still to be set."""
     a, b = pairs(y, cfg.pairs_per_loser)
     if not len(a):
         return QualityModel(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(0), 0.0, cfg.cut)
@@ -131,9 +131,7 @@ def fit_ranking(x: np.ndarray, y: np.ndarray, cfg: QualityConfig) -> QualityMode
         p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))  # chance that the loser would win
         hess = (d * (p * (1 - p))[:, None]).T @ d + cfg.ridge * np.eye(len(w))
         w = w + np.linalg.solve(hess, d.T @ p - cfg.ridge * w)
-    s = np.sort(z @ w)
-    k = int((y == 0).sum())  # the share of label 0 as a quantile of the scores
-    return QualityModel(mean, scale, w, float((s[k - 1] + s[min(k, len(s) - 1)]) / 2), cfg.cut)
+    return QualityModel(mean, scale, w, 0.0, cfg.cut)
 
 
 def extract(docs: DataFrame, extra: str | None = None) -> DataFrame:
@@ -148,28 +146,83 @@ def extract(docs: DataFrame, extra: str | None = None) -> DataFrame:
     return docs.select(*cols).mapInArrow(run, "doc_id long, x array<double>" + (", y long" if extra else ""))
 
 
-def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()) -> QualityModel:
-    """Model of the labelled rows that are not held out, from a sample bounded by ``train_per_label``."""
-    lab = labels.select("doc_id", F.col("quality").alias("y")).filter("y in (0, 1)").filter(crc_mod("doc_id", 5) != 0)
+def kth_smallest(df: DataFrame, k: int) -> float:
+    """The ``k``-th smallest value (from 1) of the column ``s``, exactly: counts of ever finer ranges."""
+    lo, hi = df.agg(F.min("s"), F.max("s")).first()
+    while lo < hi:
+        width = (hi - lo) / 4096
+        part = F.least(F.floor((F.col("s") - lo) / F.lit(width)), F.lit(4095))
+        ranges = df.filter(F.col("s").between(lo, hi)).groupBy(part.alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).collect()
+        for r in sorted(ranges, key=lambda r: r["p"]):
+            lo, hi = r["lo"], r["hi"]
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+    return lo
+
+
+def threshold(strong: DataFrame, lab: DataFrame) -> float:
+    """Quantile of the labelled rows' strengths at the share of label 0, halfway to the next strength."""
+    rows = strong.join(lab.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).select("s", "y")
+    rows = keep(strong.sparkSession, rows, "labelled-strengths")
+    k = rows.filter("y = 0").count()
+    at = kth_smallest(rows, k)
+    above = rows.agg(F.count(F.when(F.col("s") <= at, 1)), F.min(F.when(F.col("s") > at, F.col("s")))).first()
+    return at if above[0] > k or above[1] is None else (at + above[1]) / 2
+
+
+def learned(labels: DataFrame) -> DataFrame:
+    """doc_id and label ``y`` of the rows that are learned from: labelled and not held out."""
+    return labels.select("doc_id", F.col("quality").alias("y")).filter("y in (0, 1)").filter(crc_mod("doc_id", 5) != 0)
+
+
+def fit_weights(docs: DataFrame, lab: DataFrame, cfg: QualityConfig = QualityConfig()) -> QualityModel:
+    """Weights from a sample of the labelled rows bounded by ``train_per_label``."""
     rows = extract(labelled_sample(docs, lab, "y", cfg.train_per_label), "y").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.stack(rows.x.to_list()) if len(rows) else np.zeros((0, WIDTH))
     return fit_ranking(x, rows.y.to_numpy(), cfg)
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """doc_id, score and predicted (score reaches the threshold's) of every row."""
+def fit(docs: DataFrame, labels: DataFrame, cfg: QualityConfig = QualityConfig()) -> QualityModel:
+    """Model of the labelled rows that are not held out: weights from the sample, threshold from all of them."""
+    lab = learned(labels)
+    model = fit_weights(docs, lab, cfg)
+    return replace(model, threshold=threshold(strengths(docs, model), lab)) if len(model.weights) else model
+
+
+def strengths(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id and strength ``s`` of every row."""
     def run(batches):
         for b in chunks(batches):
-            s = model.score(features(column(b, 1)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["doc_id", "score"])
+            s = model.strength(features(column(b, 1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["doc_id", "s"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, s double")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double").withColumn(
-        "predicted", (F.col("score") >= F.lit(model.cut)).cast("int"))
+
+def scored(strong: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id, score and predicted (the strength reaches the threshold) of rows with strengths."""
+    if not len(model.weights):
+        return strong.select("doc_id", F.lit(0.5).alias("score"), F.lit(int(0.5 >= model.cut)).alias("predicted"))
+    shift = float(np.log(model.cut / (1 - model.cut)))
+    far = F.greatest(F.least(F.col("s") - F.lit(model.threshold) + F.lit(shift), F.lit(500.0)), F.lit(-500.0))
+    return strong.select("doc_id", (1 / (1 + F.exp(-far))).alias("score"),
+                         (F.col("s") >= F.lit(model.threshold)).cast("int").alias("predicted"))
+
+
+def score(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id, score and predicted of every row."""
+    return scored(strengths(docs, model), model)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit(docs, table(spark, sf_dir, "labels"))
+    lab = learned(table(spark, sf_dir, "labels"))
+    model = fit_weights(docs, lab)
+    strong = keep(spark, strengths(docs, model), "strengths")  # texts are read for features once
+    if len(model.weights):
+        model = replace(model, threshold=threshold(strong, lab))
     held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
-    return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+    return scored(strong, model).select("doc_id", held.alias("held_out"), "score", "predicted")
