@@ -8,6 +8,9 @@ more at a rate of 0.4 %, or at a rate of 1 %. The result is the expected severit
 1, 2, 3 by the thirds of the number of the model's features that they have. A feature leans if ``min_df`` toxic sample
 rows have it and its smoothed log-odds towards toxic rows reach ``lean``. Of these the model's features are picked
 one by one, by their association with toxic rows that no earlier pick explains; an L1 penalty shrinks the weights.
+The sample is balanced by class, so the regression weights each of its rows by its class's full count over its sampled
+count: thresholds and severities are those of all labelled rows. The log-odds compare rates within the classes, which
+a sample by class leaves as they are.
 
 Defined results: NULL or empty texts have no feature and get the base severity; without both classes every severity
 is 0 and nothing is toxic; NULL labels are not learned from; repeated rows are scored alike, row by row; NULL
@@ -29,8 +32,7 @@ from .common import chunks, codes_of, column, crc_mod, keep, labelled_sample, le
 @dataclass(frozen=True)
 class ToxicConfig:
     train_per_label: int = 4000    # bound of the training sample: documents of each label, about
-    min_df: int = 4                # toxic sample rows that a feature needs at least,
-    min_share: float = 0.015       # and their share of the toxic sample rows
+    min_df: int = 4                # toxic sample rows that a feature needs at least
     candidates: int = 20_000       # most toxic-leaning features, the commonest first
     lean: float = 2.5              # log-odds that make a feature toxic-leaning
     association: float = 16.0      # least likelihood-ratio statistic of a feature that gets a weight
@@ -198,6 +200,9 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     n = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     if len(n) < 2:
         return none
+    # labelled rows of each class in all, for every sampled one
+    full = docs.select("doc_id").join(lab, "doc_id").groupBy("y").count().collect()
+    stands_for = {int(r[0]): r[1] / n[r[0]] for r in full}
 
     def count(batches):
         for b in chunks(batches):
@@ -219,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     odds = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("b") + 0.5) / (n[0] + 1))
     lean = (sample.mapInArrow(count, "h long, of long, a long, b long").groupBy("h")
             .agg(F.min("of").alias("of"), F.sum("a").alias("a"), F.sum("b").alias("b"))
-            .filter(F.col("a") >= max(cfg.min_df, cfg.min_share * n[1])).filter(odds >= cfg.lean)
+            .filter(F.col("a") >= cfg.min_df).filter(odds >= cfg.lean)
             .orderBy(F.desc("a"), "h").limit(cfg.candidates).toPandas())
     vocab = np.sort(lean.h.to_numpy(np.int64).view(np.uint64))
     base = np.unique(lean.of.to_numpy(np.int64).view(np.uint64))
@@ -243,7 +248,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     # a toxic row is also learned from with each of its features alone, as the mildest grade: one is enough to flag
     alone = toxic[row] == 1
     parts = np.bincount(row, minlength=len(got)).astype(float)
-    weight = np.concatenate((np.ones(len(got)), 1 / parts[row[alone]]))
+    weight = np.where(toxic == 1, stands_for[1], stands_for[0])
+    weight = np.concatenate((weight, stands_for[1] / parts[row[alone]]))
     row = np.concatenate((row, len(got) + np.arange(alone.sum())))
     col = np.concatenate((col, col[alone]))
     grade = np.concatenate((grade, np.ones(alone.sum(), grade.dtype)))

@@ -5,7 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.llm import quality
+from cardwatch.llm import quality, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +34,34 @@ def test_kth_smallest(spark):
     df = spark.createDataFrame([(x,) for x in v], "s double")
     for k in (1, 2, 150, 301, 302, 320, 341, 342):
         assert quality.kth_smallest(df, k) == v[k - 1]
+
+
+def test_toxicity_probabilities_keep_the_class_shares(spark):
+    """Two words that tell little: the mean P(toxic) of the labelled rows is their toxic share, sampled or not."""
+    rows, labels = [], []
+    for i in range(3000):
+        bad = zlib.crc32(f"t{i}".encode()) % 10 == 0
+        marked = zlib.crc32(f"m{i}".encode()) % 100 < (60 if bad else 3)
+        rows.append((i, "plain text here " + ("grimword" if marked else "calm")))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    cfg = toxicity.ToxicConfig(train_per_label=150)
+    base = {}
+    for c in (toxicity.ToxicConfig(), cfg):
+        model = toxicity.fit(docs, lab, c)
+        got = dict(toxicity.score(docs, model, c).select("doc_id", "expected_severity").collect())
+        base[c.train_per_label] = sum(got.values()) / len(got)
+    assert base[150] == pytest.approx(base[4000], rel=0.3)
+
+
+def test_toxicity_learns_words_of_few_toxic_rows(spark):
+    """Four of about 320 toxic rows (1.25 %) share a word that no clean row has."""
+    few = [i for i in range(0, 4000, 10) if zlib.crc32(str(i).encode()) % 5][:4]
+    rows = [(i, "some vileword" if i in few else "a grimword here" if i % 10 == 0 else "calm words here") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, lab)
+    probe = spark.createDataFrame([(1, "more vileword"), (2, "more words")], "doc_id long, text string")
+    sev = dict(toxicity.score(probe, model).select("doc_id", "expected_severity").collect())
+    assert sev[1] > sev[2]
