@@ -30,7 +30,8 @@ def start(spark: SparkSession, wh: Warehouse, folder: str, query_name: str = "ca
           checkpoint: str | None = None, available_now: bool = True):
     """Start the stream; with ``available_now`` it stops once the folder is drained."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-    src = spark.readStream.format("binaryFile").schema(FILES).load(folder)
+    # selected on the stream itself: inside a micro-batch the scan can no longer be pruned
+    src = spark.readStream.format("binaryFile").schema(FILES).load(folder).select("path", "modificationTime", "length")
     w = (src.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
          .foreachBatch(_process(wh, folder)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
