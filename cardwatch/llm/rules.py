@@ -108,8 +108,7 @@ def line_fails(line: Column, stock: Column, cfg: RuleConfig) -> Column:
     symbols = F.regexp_count(line, F.lit(f"[{SYMBOLS}]"))
     bars = F.regexp_count(line, F.lit("[|›»·•]"))
     words = F.size(words_col(line))
-    ended = F.instr(F.lit(cfg.stops), F.substring(F.rtrim(F.translate(F.substring(line, -8, 8), SPACES[1:], "     ")),
-                                                  -1, 1))
+    ended = F.instr(F.lit(cfg.stops), F.substring(F.rtrim(F.translate(line, SPACES[1:], "     ")), -1, 1))
     letters = F.regexp_count(line, F.lit(r"\p{L}"))
     capitals = F.regexp_count(line, F.lit(r"\p{Lu}"))
     return (((ended == 0) & ((words < cfg.short_line) | ((words <= cfg.short_line) & line.rlike(cfg.menu))))
