@@ -7,8 +7,10 @@ replaced by letters and digits in place, separators stay, check digits and priva
 valid or private as they were, mail addresses of one domain share the new domain, names keep gender and script.
 
 Collision check over the whole corpus: if two entities draw one surrogate, or a surrogate is itself an entity of the
-corpus, all but the first draw again with a counter, until every surrogate is distinct and new. Redraws reach the
-documents through a join on doc_id, of any size.
+corpus, all but the first draw again with a counter, until every surrogate is distinct and new. A corpus may hold as
+many entities as there are surrogates of a shape, so after every ``WIDEN_AFTER`` draws a surrogate gets one more
+syllable, letter or digit (an address becomes an IPv6 one, of the same privacy): the space always outgrows the
+entities and the redraws end. Redraws reach the documents through a join on doc_id, of any size.
 
 Defined results: NULL text stays NULL, empty text stays empty, texts without an entity stay as they are; repeated rows
 are rewritten alike; ties for a surrogate go to the entity that sorts first; NULL doc_id is kept and rewritten
@@ -48,10 +50,12 @@ ENTITY = re.compile(
 HINT = re.compile(r"@|\d\.\d|\d{9}|\d[ .-]\d|\(\d|\d-\d|[A-Z]{2}\d\d|\b(?:" + "|".join(MALE + FEMALE + EITHER) + r")\b")
 
 
+WIDEN_AFTER = 4   # draws of one size; each further such number of draws makes a surrogate longer by one
+
+
 @dataclass(frozen=True)
 class PiiConfig:
     key: bytes = b"surrogates-1"   # secret of the keyed hash; set your own
-    redraws: int = 40
 
 
 def canonical(kind: str, value: str) -> str:
@@ -118,14 +122,14 @@ def _letters(d: Draw, text: str) -> str:
     return "".join(out)
 
 
-def _name(d: Draw, name: str, sex: str) -> str:
+def _name(d: Draw, name: str, sex: str, more: int = 0) -> str:
     first = name[0]
     script = "cyrillic" if "Ѐ" <= first <= "ӿ" else "greek" if "Ͱ" <= first <= "Ͽ" else "latin"
     vowels, consonants = _SCRIPTS[script]
     words = []
     for k, w in enumerate(name.split(" ")):
         s = "".join(consonants[d.below(len(consonants))] + vowels[d.below(len(vowels))]
-                    for _ in range(max(2, min(4, (len(w) + 1) // 2))))
+                    for _ in range(max(2, min(4, (len(w) + 1) // 2)) + more))
         if not k and sex != "n":  # given names end by gender: a vowel a, or a consonant
             s = s[:-1] + (vowels[0] if sex == "f" else vowels[1] + consonants[d.below(len(consonants))])
         words.append(s.upper() if w.isupper() and len(w) > 1 else s.capitalize())
@@ -135,32 +139,36 @@ def _name(d: Draw, name: str, sex: str) -> str:
 def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
     """The replacement of an entity in canonical form."""
     d = Draw(key, kind, canon, str(attempt))
+    more = attempt // WIDEN_AFTER
     if kind in ("card", "phone", "ssn"):
         s = "".join(str(1 + d.below(9)) if not i and c != "0" else "0" if not i else str(d.below(10))
-                    for i, c in enumerate(canon))
+                    for i, c in enumerate(canon + "1" * more))
         if kind == "card":
             last = next(x for x in "0123456789" if luhn(s[:-1] + x))
             s = s[:-1] + (last if luhn(canon) else str((int(last) + 1 + d.below(9)) % 10))
         return s
     if kind == "ip":
-        if ipaddress.ip_address(canon).is_private:
+        private = ipaddress.ip_address(canon).is_private
+        if more > 2:  # there is no longer IPv4 address
+            return ("fd" if private else "2a") + ":".join([f"{d.below(256):02x}"] + [f"{d.below(1 << 16):04x}" for _ in range(7)])
+        if private:
             return f"10.{d.below(256)}.{d.below(256)}.{1 + d.below(254)}"
         first = [x for x in range(11, 224) if x not in (100, 127, 169, 172, 192, 198, 203)]
         return f"{first[d.below(len(first))]}.{d.below(256)}.{d.below(256)}.{1 + d.below(254)}"
     if kind == "email":
         local, domain = canon.rsplit("@", 1)
         host, top = domain.rsplit(".", 1)
-        return _letters(d, local) + "@" + _letters(Draw(key, "domain", domain), host) + "." + top
+        return _letters(d, local + "a" * more) + "@" + _letters(Draw(key, "domain", domain), host) + "." + top
     if kind == "iban":
-        return canon[:2] + _letters(d, canon[2:])
-    return _name(d, canon, kind[-1])
+        return canon[:2] + _letters(d, canon[2:] + "1" * more)
+    return _name(d, canon, kind[-1], more)
 
 
 def in_shape(kind: str, value: str, new: str) -> str:
-    """The canonical surrogate in the shape of the mention: separators and capitals where they were."""
+    """The canonical surrogate in the shape of the mention: separators and capitals where they were, more at the end."""
     if kind in ("card", "phone", "ssn", "iban"):
         it = iter(new)
-        return "".join(next(it) if c.isalnum() else c for c in value)
+        return "".join(next(it) if c.isalnum() else c for c in value) + "".join(it)
     if kind == "email" and len(new) == len(value):
         return "".join(n.upper() if c.isupper() else n for c, n in zip(value, new))
     return new
@@ -206,7 +214,7 @@ def redraws(distinct: DataFrame, cfg: PiiConfig) -> DataFrame | None:
 
     now = keep(spark, draw(distinct.withColumn("attempt", F.lit(0))), "surrogates")
     real = distinct.select(F.col("kind").alias("_k"), F.col("canon").alias("_c"))
-    for _ in range(cfg.redraws):
+    while True:
         twice = now.groupBy("kind", "sur").agg(F.count(F.lit(1)).alias("n"), F.min("canon").alias("first")).filter("n > 1")
         late = now.join(twice, ["kind", "sur"]).filter("canon <> first").select("kind", "canon")
         taken = now.join(real, (F.col("kind") == F.col("_k")) & (F.col("sur") == F.col("_c")), "left_semi")
@@ -216,7 +224,6 @@ def redraws(distinct: DataFrame, cfg: PiiConfig) -> DataFrame | None:
             return None if changed.isEmpty() else changed
         again = draw(now.join(bad, ["kind", "canon"]).withColumn("attempt", F.col("attempt") + 1))
         now = keep(spark, now.join(bad, ["kind", "canon"], "left_anti").unionByName(again), "surrogates")
-    raise RuntimeError("surrogates still collide; the corpus holds nearly all values of a kind")
 
 
 def replace(docs: DataFrame, cfg: PiiConfig = PiiConfig(), counts: bool = False) -> DataFrame:
