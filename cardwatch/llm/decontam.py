@@ -2,8 +2,9 @@
 
 Words are compared. The CGK random walk embeds a sequence of n words: at each of 2n steps it writes the current
 word and moves on, or stays, by a random bit of (step, word). Near sequences by edit distance become near
-ones by Hamming distance, so sampled places that agree make a hash key. ``tables`` repetitions, each with its own walk
-and sample, reach ``recall`` for an expected share of ``differing`` places. Windows of an item's size whose key equals
+ones by Hamming distance, so sampled places that agree make a hash key. Each table has its own walk and sample; their
+number is taken, for each item size, from the measured agreement of walks over pairs at exactly the edit limit, so
+that ``recall`` of them share a key. Walks of longer items agree less: keys get fewer places there. Windows of an item's size whose key equals
 the item's in some table are candidates; the edit distance, computed exactly, decides (``similarity`` of the words).
 
 Windows are formed at every start where a match is possible: an item within k edits of a window, cut into k + 1
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import chunks, column, mix64, table, words_of
 
+#: cells (table, row, word) that one step of the embedding holds
+EMBED_CELLS = 4_000_000
 RESULT = "doc_id long, item_id long, edits int, similarity double, start_word int"
 
 
@@ -35,28 +39,71 @@ RESULT = "doc_id long, item_id long, edits int, similarity double, start_word in
 class DecontamConfig:
     similarity: float = 0.8
     recall: float = 0.995          # of windows at the similarity threshold, per window
-    differing: float = 0.45        # share of embedding places that differ there
-    sampled: int = 3               # places in a key
+    sampled: int = 3               # places in a key at most; fewer if that takes over
+    many_tables: int = 64          # tables; one place takes as many tables as it needs
     block_chars: int = 8_000_000   # benchmark text that is broadcast at a time
     seed: int = 20
 
-    @property
-    def tables(self) -> int:
-        p = (1 - self.differing) ** self.sampled
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - p))
+    def tables(self, n: int) -> tuple[int, int]:
+        """Number of tables and places in a key for items of n words."""
+        if n > 64:  # one measurement serves the sizes up to a quarter longer; the longer walk agrees less
+            n = math.ceil(64 * 1.25 ** math.ceil(math.log(n / 64, 1.25) - 1e-9))
+        share = agreement(n, edits_allowed(n, self.similarity), self.seed)
+        for places in range(self.sampled, 0, -1):
+            q = (share ** places).mean(axis=1)  # chance of a key for each pair
+            few, many = 0, 1
+            while np.mean((1 - q) ** many) > 1 - self.recall:
+                few, many = many, 2 * many
+            while many - few > 1:
+                t = (few + many) // 2
+                few, many = (few, t) if np.mean((1 - q) ** t) <= 1 - self.recall else (t, many)
+            if many <= self.many_tables or places == 1:
+                return many, places
 
 
 def edits_allowed(n: int, similarity: float) -> int:
     return int((1 - similarity) * n + 1e-9)
 
 
-def embed(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+@lru_cache(maxsize=4096)
+def agreement(n: int, k: int, seed: int, pairs: int = 256, walks: int = 32) -> np.ndarray:
+    """Share of equal places [pair, walk] of the walks over n words and over the same after k random edits.
+
+    An edit inserts, removes or changes a word, and the text goes on after the item, as in a window.
+    """
+    rng = np.random.default_rng([seed, n, k])
+    a = rng.integers(1, 1 << 62, (pairs, n)).astype(np.uint64)
+    b = np.empty_like(a)
+    for i, row in enumerate(a.tolist()):
+        at = np.sort(rng.choice(n, k, replace=False))[::-1].tolist()
+        for place, kind, word in zip(at, rng.integers(0, 3, k).tolist(), rng.integers(1, 1 << 62, k).tolist()):
+            row[place:place + (kind > 0)] = [word] * (kind < 2)
+        b[i] = (row + rng.integers(1, 1 << 62, k).tolist())[:n]
+    ends = np.zeros((pairs, 1), np.uint64)
+    a, b = np.concatenate((a, ends), axis=1), np.concatenate((b, ends), axis=1)
+    row = np.arange(pairs)[:, None]
+    salt = rng.integers(1, 1 << 62, (2 * n, walks)).astype(np.uint64)
+    at_a, at_b = np.zeros((pairs, walks), np.int64), np.zeros((pairs, walks), np.int64)
+    same = np.zeros((pairs, walks))
+    for step in salt:
+        x, y = a[row, at_a], b[row, at_b]
+        same += (x == y) & (x != 0)
+        at_a = np.minimum(at_a + (mix64(x ^ step) & np.uint64(1)).astype(np.int64), n)
+        at_b = np.minimum(at_b + (mix64(y ^ step) & np.uint64(1)).astype(np.int64), n)
+    return same / (2 * n)
+
+
+def embed(rows: np.ndarray, places: np.ndarray, ended: int) -> np.ndarray:
     """LSH keys [table, row] of word sequences (rows of one length) from the CGK walks of all tables.
 
     ``places[t]`` are the sampled steps of table t. The random bit of (table, step, word) is a bit of the word's hash
-    under the table's salt, 64 steps from each hash. A walk past the end stays on an empty word.
+    under the table's salt, 64 steps from each hash. A walk past the end stays on an empty word; a key
+    of such places alone says nothing and becomes ``ended``, which must differ between items and windows.
     """
     tables, n = len(places), rows.shape[1]
+    if len(rows) > 1 and tables * len(rows) * (n + 1) > EMBED_CELLS:
+        half = len(rows) // 2
+        return np.concatenate((embed(rows[:half], places, ended), embed(rows[half:], places, ended)), axis=1)
     text = np.concatenate((rows, np.zeros((len(rows), 1), np.uint64)), axis=1)
     flat = text.ravel()
     base = (np.arange(len(rows)) * (n + 1))[None, :]
@@ -64,14 +111,17 @@ def embed(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
     table_at = (np.arange(tables) * flat.size)[:, None]
     at = np.zeros((tables, len(rows)), np.int64)
     key = np.zeros((tables, len(rows)), np.uint64)
+    past = np.ones((tables, len(rows)), bool)
     for step in range(int(places.max()) + 1):
         if step % 64 == 0:
             bits = mix64(flat[None, :] ^ salt[step // 64][:, None]).ravel()
         idx = base + at
         for t in np.flatnonzero((places == step).any(axis=1)):
             key[t] = mix64(key[t] * np.uint64(31) + flat[idx[t]])
+            past[t] &= flat[idx[t]] == 0
         move = (bits[table_at + idx] >> np.uint64(step % 64)) & np.uint64(1)
         at = np.minimum(at + move.astype(np.int64), n)
+    key[past] = ended
     return key
 
 
@@ -120,14 +170,16 @@ class Items:
             self.seeds[q] = (a[:, 0].astype(np.uint64), a[:, 1:].astype(np.int64))
         # windows are embedded once for each distinct item size; keys are looked up among the items of that size
         rng = np.random.default_rng(cfg.seed)
-        self.samples = {int(x): np.stack([
-            np.sort(rng.choice(2 * int(x), min(cfg.sampled, 2 * int(x)), replace=False)) for _ in range(cfg.tables)])
-            for x in np.unique(self.n)}  # a walk passes a sequence's end after 2n steps, on average
+        self.samples = {}
+        for x in np.unique(self.n).tolist():  # a walk passes a sequence's end after 2n steps, on average
+            tables, places = cfg.tables(x)
+            self.samples[x] = np.stack([
+                np.sort(rng.choice(2 * x, min(places, 2 * x), replace=False)) for _ in range(tables)])
         self.by_size = {}
         for x, places in self.samples.items():
             of = np.flatnonzero(self.n == x)
             keys = []
-            for h in embed(np.stack([self.words[i] for i in of]), places):
+            for h in embed(np.stack([self.words[i] for i in of]), places, 1):
                 order = np.argsort(h, kind="stable")
                 keys.append((h[order], of[order]))
             self.by_size[x] = keys
@@ -185,7 +237,7 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int]]:
             place = start[at:at + 1024, None] + np.arange(size)
             inside = place < first[doc[at:at + 1024] + 1][:, None]
             text = np.where(inside, words[np.minimum(place, len(words) - 1)], np.uint64(0))
-            for h, (keys, of) in zip(embed(text, items.samples[size]), items.by_size[size]):
+            for h, (keys, of) in zip(embed(text, items.samples[size], 2), items.by_size[size]):
                 w, hit = spread(np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right"))
                 pairs.append((at + hit) * len(items.n) + of[w])
         pairs = np.unique(np.concatenate(pairs))
