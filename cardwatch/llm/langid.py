@@ -2,9 +2,10 @@
 
 Each language has an n-gram model (letters seen with both neighbours, word ends included). A document is a mixture:
 every word is written in one of the languages, and expectation-maximisation estimates the document's language
-proportions from the words' n-gram likelihoods. The language set is chosen by penalised likelihood: among the
-nested sets of its largest languages, the one with the best log-likelihood minus ``penalty`` times half the
-number of languages times the log of the number of words.
+proportions from the words' n-gram likelihoods. The language set is chosen by penalised likelihood: the nested set of
+its largest languages grows for as long as the log-likelihood minus ``penalty`` times half the number of languages
+times the log of the number of words rises. The prediction and its score are the largest share within that set.
+Every label gets a model; beyond ``full_langs`` labels the n-gram table of each gets smaller, so memory stays bounded.
 
 Defined results: NULL, empty or letterless text -> ``und``, score 0, no languages; no training rows -> ``und`` for
 all; ties go to the language that sorts first; repeated rows are predicted alike, row by row; columns other than
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, codes_of, column, crc_mod, letter_table, mix64, runs, sampled, table
+from .common import CHUNK_BYTES, chunks, codes_of, column, crc_mod, letter_table, mix64, runs, sampled, table
 
 UND = "und"
 
@@ -29,10 +30,9 @@ UND = "und"
 class LangConfig:
     buckets: int = 1 << 17         # n-gram hash table of each language
     train_per_lang: int = 3000     # bound of the training sample: documents of each language, about
-    max_langs: int = 64            # most frequent labels that get a model
+    full_langs: int = 64           # labels up to which each has ``buckets``; more share the same memory
     smoothing: float = 0.1
     iterations: int = 8            # of expectation-maximisation for each language set
-    set_size: int = 3              # largest language set that is tried
     penalty: float = 1.0
 
 
@@ -55,16 +55,16 @@ def fit(docs: DataFrame, cfg: LangConfig = LangConfig()) -> tuple[list[str], np.
     language and bucket at most.
     """
     rows = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
-    top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(cfg.max_langs).collect()]
-    if not top:
+    langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
+    if not langs:
         return [], np.zeros((cfg.buckets, 0), np.float32)
-    langs = sorted(top)
-    sample = sampled(rows.filter(F.col("lang").isin(langs)), "lang", cfg.train_per_lang).select("lang", "text")
-    buckets = cfg.buckets
+    sample = sampled(rows, "lang", cfg.train_per_lang).select("lang", "text")
+    buckets = max(1, cfg.buckets * cfg.full_langs // max(cfg.full_langs, len(langs)))
+    place = {x: i for i, x in enumerate(langs)}
 
     def count(batches):
         for b in chunks(batches):
-            of = np.array([langs.index(x) for x in b.column(0).to_pylist()])
+            of = np.array([place[x] for x in b.column(0).to_pylist()])
             g, first, doc = grams(column(b, 1), buckets)
             if not len(g):
                 continue
@@ -96,7 +96,7 @@ def infer(texts: list[str], model: np.ndarray, cfg: LangConfig):
     """Index of the language (-1: none), its share and the chosen set (as a 0/1 row) for each text."""
     langs = model.shape[1]
     pred, score, chosen = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros((len(texts), langs), bool)
-    g, first, doc = grams(texts, cfg.buckets)
+    g, first, doc = grams(texts, len(model))
     full = np.flatnonzero(np.diff(doc))
     if not len(g) or not langs:
         return pred, score, chosen
@@ -106,32 +106,43 @@ def infer(texts: list[str], model: np.ndarray, cfg: LangConfig):
     at = doc[full]
     n = np.diff(doc)[full]
     word_doc = np.repeat(np.arange(len(full)), n)
-    pi, best = _em(lik, peak, word_doc, at, np.ones((len(full), langs), np.float32), cfg.iterations)
+    pi, _ = _em(lik, peak, word_doc, at, np.ones((len(full), langs), np.float32), cfg.iterations)
     order = np.argsort(-pi, axis=1, kind="stable")
-    single = np.add.reduceat(ll, at, axis=0)
     rows = np.arange(len(full))
-    value = single[rows, order[:, 0]] - cfg.penalty * 0.5 * np.log(n + 1)
-    size = np.ones(len(full), int)
-    for m in range(2, min(cfg.set_size, langs) + 1):
-        allowed = np.zeros((len(full), langs), np.float32)
-        np.put_along_axis(allowed, order[:, :m], 1, axis=1)
-        _, got = _em(lik, peak, word_doc, at, allowed, cfg.iterations)
-        got = got - cfg.penalty * 0.5 * m * np.log(n + 1)
-        size = np.where(got > value, m, size)
-        value = np.maximum(value, got)
-    pred[full], score[full] = order[:, 0], np.minimum(1, pi[rows, order[:, 0]])
+    value = np.add.reduceat(ll, at, axis=0)[rows, order[:, 0]] - cfg.penalty * 0.5 * np.log(n + 1)
+    share = np.zeros((len(full), langs), np.float32)
+    share[rows, order[:, 0]] = 1
+    size, rising, m = np.ones(len(full), int), rows, 2
+    while len(rising) and m <= langs:
+        words = np.isin(word_doc, rising)
+        count = n[rising]
+        allowed = np.zeros((len(rising), langs), np.float32)
+        np.put_along_axis(allowed, order[rising, :m], 1, axis=1)
+        got_pi, got = _em(lik[words], peak[words], np.repeat(np.arange(len(rising)), count), np.cumsum(count) - count,
+                          allowed, cfg.iterations)
+        got = got - cfg.penalty * 0.5 * m * np.log(count + 1)
+        up = got > value[rising]
+        rising = rising[up]
+        value[rising], share[rising], size[rising] = got[up], got_pi[up], m
+        m += 1
+    pred[full], score[full] = share.argmax(axis=1), np.minimum(1, share.max(axis=1))
     for m in range(size.max()):
         chosen[full[size > m], order[size > m, m]] = True
     return pred, score, chosen
 
 
+def _limit(langs: int, cfg: LangConfig) -> int:
+    """Text bytes held at a time: the likelihoods have a column for each language."""
+    return max(1, CHUNK_BYTES * cfg.full_langs // max(cfg.full_langs, langs))
+
+
 def predict(docs: DataFrame, langs: list[str], model: np.ndarray, cfg: LangConfig = LangConfig()) -> DataFrame:
     """doc_id, lang_pred, score (share of that language), langs (the chosen set, comma-joined) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x max_langs floats at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x full_langs floats at most
     names = np.array([*langs, UND])
 
     def run(batches):
-        for b in chunks(batches):
+        for b in chunks(batches, limit=_limit(len(langs), cfg)):
             pred, score, chosen = infer(column(b, 1), shared.value, cfg)
             sets = [",".join(names[:-1][c]) for c in chosen]
             yield pa.RecordBatch.from_arrays(
@@ -162,7 +173,7 @@ def keep_languages(docs: DataFrame, langs: list[str], model: np.ndarray, min_sco
     at = docs.columns.index("text")
 
     def run(batches):
-        for b in chunks(batches, at):
+        for b in chunks(batches, at, _limit(len(langs), cfg)):
             pred, score, _ = infer(column(b, at), shared.value, cfg)
             yield b.filter(pa.array((pred >= 0) & (score >= min_score)))
 

@@ -7,7 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.llm import decontam, pii, quality, rules, toxicity
+from cardwatch.llm import decontam, langid, pii, quality, rules, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,3 +134,16 @@ def test_decontam_recall_at_the_edit_limit(n):
     block = decontam.Items(list(range(count)), items, decontam.DecontamConfig())
     found = {(a, b) for a, b, _, _ in decontam.matches(texts, block)}
     assert found <= {(i, i) for i in range(count)} and len(found) >= count - 1
+
+
+def test_langid_every_label_and_large_sets(spark):
+    """Seventy languages of their own letters: each is recognised, and a document of five has all five."""
+    words = {f"l{k:02d}": " ".join(chr(0x4E00 + 40 * k + j) * 2 for j in range(30)) for k in range(70)}
+    rows = [(i, t, x) for i, (x, t) in enumerate(words.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = langid.fit(docs)
+    assert langs == sorted(words)
+    assert all(r["lang_pred"] == rows[r["doc_id"]][2] for r in langid.predict(docs, langs, model).collect())
+    five = spark.createDataFrame([(1, " ".join(words[x] for x in langs[:5]))], "doc_id long, text string")
+    row = langid.predict(five, langs, model).first()
+    assert row["langs"] == ",".join(langs[:5]) and 0.15 < row["score"] < 0.3
