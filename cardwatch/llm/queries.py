@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontam import op1_decontaminate
 from .langid import op2_langid
+from .mixing import op11_mix_sources
 from .packing import op6_pack
 from .phrases import SQL as PHRASES_SQL
 from .phrases import op13_collocations
@@ -19,7 +20,7 @@ from .toxicity import op9_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_langid, op3_quality, op4_substring_dedup, op5_pii, op6_pack, op7_quality_rules,
-    op8_simhash, op9_toxicity, op10_secrets, op12_spelling_variants, op13_collocations)}
+    op8_simhash, op9_toxicity, op10_secrets, op11_mix_sources, op12_spelling_variants, op13_collocations)}
 
 #: the others are models, walks and packings, tested against brute force, accuracy or round trips
 SQL: dict[str, str] = {"op12_spelling_variants": SPELLING_SQL, "op13_collocations": PHRASES_SQL}
