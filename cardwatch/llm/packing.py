@@ -32,7 +32,7 @@ class PackConfig:
     size: int = 2048
     tokenizer: str = "word_bpe_49k.json"   # a file of the public tokenizers, or a path
     end_id: int = 0
-    cache_words: int = 400_000             # words whose ids a worker remembers
+    cache_words: int = 1_200_000           # words whose ids a worker remembers, and as many units
     group: int = 40_000                    # pieces packed together, about
     rounds: int = 3                        # exchanges between partitions with gaps
 
@@ -40,21 +40,70 @@ class PackConfig:
 class WordIds:
     """Ids of whole texts, word by word: for plain Latin text the tokenizer's words never cross white space.
 
-    Each word's ids come from the tokenizer once and are remembered; other texts go through it whole.
+    A word's ids are remembered, and so are those of its units (runs of letters, digits, runs of marks), which the
+    tokenizer cuts first: ``tree``, ``tree,`` and ``(tree`` share one. Units not met before go through the
+    tokenizer in one call; each ends with an id that closes a unit. Both memories have two generations: when the
+    young one is full it becomes the old one, and what is met again moves back, so frequent words are never lost.
+    Other texts go through the tokenizer whole.
     """
 
     #: characters for which lower-casing and normal form work letter by letter and white space is space, \\t, \\n, \\r
     _PLAIN = bytes(i for i in range(256) if 32 <= i < 127 or i in (9, 10, 13) or i > 160)
+    #: the tokenizer's own units, on such text
+    _UNIT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc\xbd\xbe]+|[0-9\xb2\xb3\xb9\xbc\xbd\xbe]|(?:[^\w\s]|_)+"
 
     def __init__(self, path: str, cache_words: int):
+        import re
+
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        closing = [t.endswith("</w>") for t, _ in sorted(self.tok.get_vocab().items(), key=lambda x: x[1])]
+        self.closes = np.array(closing)
+        self.unit = re.compile(self._UNIT)
+        self.words: tuple[dict, dict] = ({}, {})
+        self.units: tuple[dict, dict] = ({}, {})
         self.most = cache_words
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _fill(self, known: tuple[dict, dict], wanted: set, find) -> tuple[dict, dict]:
+        """``known`` with everything ``wanted`` in its young generation; ``find`` gives the bytes of new ones."""
+        young, old = known
+        missing = [w for w in wanted if w not in young]
+        if len(young) + len(missing) > self.most // 2:
+            young, old = {}, young
+            missing = list(wanted)
+        new = []
+        for w in missing:
+            if w in old:
+                young[w] = old[w]
+            else:
+                new.append(w)
+        young.update(zip(new, find(new)))
+        return young, old
+
+    def _new_units(self, units: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(units), 8192):
+            part = units[at:at + 8192]
+            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) != len(part):  # not one closing id a unit: one by one
+                out += [self.whole(u) for u in part]
+                continue
+            raw, a = ids.tobytes(), 0
+            for b in ends.tolist():
+                out.append(raw[a:b])
+                a = b
+        return out
+
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        mixed = {w: self.unit.findall(w) for w in words if not w.isalpha()}
+        self.units = self._fill(self.units, set(words).difference(mixed).union(*mixed.values()), self._new_units)
+        get = self.units[0].__getitem__
+        return [b"".join(map(get, mixed[w])) if w in mixed else get(w) for w in words]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split: list[list[str] | None] = []
         for t in texts:
@@ -63,16 +112,8 @@ class WordIds:
             except UnicodeEncodeError:
                 plain = False
             split.append(t.lower().split() if plain else None)
-        known = self.words
-        new = list({w for ws in split if ws for w in ws if w not in known})
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list({w for ws in split if ws for w in ws})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
+        self.words = self._fill(self.words, set().union(*[ws for ws in split if ws]), self._new_words)
+        get = self.words[0].__getitem__
         return [self.whole(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
@@ -86,12 +127,14 @@ def tokenizer_path(name: str) -> str:
 def pieces(docs: DataFrame, cfg: PackConfig = PackConfig()) -> DataFrame:
     """The pieces of every document, with the crc of their ids."""
     def run(batches):
+        import gc
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache = worker_cache("word-ids")
         if cfg.tokenizer not in cache:
             cache[cfg.tokenizer] = WordIds(tokenizer_path(cfg.tokenizer), cfg.cache_words)
         ids_of, end, wide = cache[cfg.tokenizer], np.array([cfg.end_id], "<u4").tobytes(), 4 * cfg.size
+        gc.disable()  # the memories hold strings and bytes only: nothing for the collector to find
         for b in chunks(batches):
             out: list[tuple] = []
             for doc, ids in zip(b.column(0).to_pylist(), ids_of(column(b, 1)), strict=True):
