@@ -40,7 +40,7 @@ class PhraseConfig:
     longest: int = 4               # words of a candidate, 2 to 4
     covered: int = 80              # per cent of a phrase's count in a longer one that drop it
     top: int = 2000                # phrases returned for each lang
-    slice_bytes: int = 8 << 20     # text that one vectorised step holds
+    slice_bytes: int = 4 << 20     # text that one vectorised step holds
     filter_bits: int = 1 << 27     # most bits of the pair filter
 
 
@@ -180,19 +180,23 @@ def _long_run(w: Words, bits: np.ndarray, longest: int):
         return
     h = w.pair_hashes() & np.uint64(64 * len(bits) - 1)
     frequent = (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) > 0
+    del h
     frequent &= w.piece[:-1] == w.piece[1:]
     v = len(w.words)
-    key, pair = np.unique((w.lang[:-1] * v + w.rank[:-1]) * v + w.rank[1:], return_inverse=True)
+    at = np.flatnonzero(frequent)
+    key, code = np.unique((w.lang[at] * v + w.rank[at]) * v + w.rank[at + 1], return_inverse=True)
+    pair = np.zeros(len(frequent), np.int32)   # numbers of the frequent pairs, by place
+    pair[at] = code
     for n in range(3, longest + 1):
         some = w.phrases(n)
         for k in range(n - 1):
             some &= frequent[k:k + len(some)]
         at = np.flatnonzero(some)
         if n == 3:
-            two, c = np.unique(pair[at] * v + w.rank[at + 2], return_counts=True)
+            two, c = np.unique(pair[at].astype(np.int64) * v + w.rank[at + 2], return_counts=True)
             first, rest = key[two // v], [two % v]
         else:
-            two, c = np.unique(pair[at] * len(key) + pair[at + 2], return_counts=True)
+            two, c = np.unique(pair[at].astype(np.int64) * len(key) + pair[at + 2], return_counts=True)
             first, other = key[two // len(key)], key[two % len(key)]
             rest = [other // v % v, other % v]
         yield from w.batch(first // v // v, [first // v % v, first % v, *rest], c)
