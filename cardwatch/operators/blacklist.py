@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.config import Semantics
+from cardwatch.operators.joins import not_in
 
 
 def new_entries(feed: DataFrame, passport: str = "passport_num", date_col: str = "file_date") -> DataFrame:
@@ -35,24 +36,17 @@ def table_from_new(new: DataFrame, passport: str = "passport_num", date_col: str
     return new.select(*cols)
 
 
-def rejects(feed: DataFrame, passport: str = "passport_num") -> DataFrame:
-    return feed.filter(F.col(passport).isNull()).withColumn("reason", F.lit("null passport"))
-
-
 def merge_day(table: DataFrame, feed: DataFrame, day, semantics: Semantics = Semantics.INTENDED,
               passport: str = "passport_num") -> tuple[DataFrame, DataFrame]:
-    """One feed against the current table; returns ``(new_rows, table_rows_to_append)``."""
+    """One feed against the current table; returns ``(new_rows, table_rows_to_append)``.
+
+    The parity preset is SQL's ``NOT IN``; the intended one leaves NULL passports out (the load keeps them as
+    rejected rows).
+    """
     d = F.lit(day).cast("date")
     known = table.select(F.col("passport_num").alias(passport))
     if semantics == Semantics.PARITY:
-        # SQL NOT IN: a NULL in the table empties the result; a NULL in the
-        # feed is new only while the table is empty.
-        table_has_null = known.filter(F.col(passport).isNull()).limit(1).count() > 0
-        table_empty = known.limit(1).count() == 0
-        new = feed.join(known.filter(F.col(passport).isNotNull()), passport, "left_anti")
-        new = new.filter(F.col(passport).isNotNull() | F.lit(table_empty))
-        if table_has_null:
-            new = new.limit(0)
+        new = not_in(feed, known, passport)
     else:
         new = feed.filter(F.col(passport).isNotNull()).join(
             known.filter(F.col(passport).isNotNull()), passport, "left_anti")

@@ -58,3 +58,18 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", *,
 def small_join(df: DataFrame, bounded: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with a side bounded by construction (calendar days, 25 nations)."""
     return df.join(F.broadcast(bounded), on, how)
+
+
+def not_in(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` for which SQL's ``on NOT IN (SELECT on FROM other)`` is true.
+
+    Three-valued: with an empty ``other`` every row stays; otherwise a NULL on either side makes the test unknown,
+    so rows with a NULL key go, and a NULL in ``other`` empties the result. Spark's own null-aware anti join only
+    broadcasts ``other``; here it is a plain anti join on the non-NULL keys, of any size, and the two facts about
+    ``other`` come in as scalar subqueries of the same plan (one partially aggregated pass, no job of its own).
+    """
+    keys = other.select(F.col(on))
+    facts = keys.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(on).isNull(), 1)).alias("nulls"))).scalar()
+    rest = df.join(keys.filter(F.col(on).isNotNull()), on, "left_anti")
+    known = F.col(on).isNotNull() & (facts["nulls"] == 0)
+    return rest.filter((facts["n"] == 0) | known)

@@ -127,13 +127,17 @@ def city_first_visits(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: Rule
                       asof: bool | None = None, hist_check=None) -> DataFrame:
     """Per run, card and city the first operation time in the 1-hour slice.
 
-    The grouping pre-aggregates map-side, so a hot card shrinks to one row
-    per city before any shuffle.
+    Grouped by terminal (and day, as versions hold for whole days) before the terminals are joined: a version
+    match then meets one row a card, terminal and day, so the fan-out over versions and their cities never
+    multiplies the operations themselves. Both groupings pre-aggregate map-side, so a hot card shrinks before
+    any shuffle.
     """
     asof = (cfg.semantics == Semantics.INTENDED) if asof is None else asof
-    j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
-    x = expand_runs(j, runs, cfg.city_cut_s)
-    return x.groupBy("run_date", "card_num", "terminal_city").agg(F.min("transe_date").alias("transe_date"))
+    w = expand_runs(_withdrawals(tx).select("card_num", "terminal", "transe_date"), runs, cfg.city_cut_s)
+    first = w.groupBy("run_date", "card_num", "terminal", F.to_date("transe_date").alias("_d")).agg(
+        F.min("transe_date").alias("transe_date"))
+    j = with_terminal(first.drop("_d"), hist, asof, hist_check)
+    return j.groupBy("run_date", "card_num", "terminal_city").agg(F.min("transe_date").alias("transe_date"))
 
 
 def city_running_count(first_visits: DataFrame) -> DataFrame:

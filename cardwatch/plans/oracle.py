@@ -225,6 +225,45 @@ SELECT file_name,
 FROM feed_names""")
 
 
+cte("tx_lines", ("tx",), """
+SELECT 'transactions_' || strftime(file_date, '%d%m%Y') || '.txt' AS file_name, file_date,
+       CASE WHEN k % 97 = 0 THEN l || ';x' WHEN k % 89 = 0 THEN array_to_string(string_split(l, ';')[1:6], ';') ELSE l END
+         AS line
+FROM (SELECT file_date, CAST(trans_id AS BIGINT) AS k,
+             CASE WHEN k % 79 = 0 THEN '' ELSE trans_id END || ';'
+             || CASE WHEN k % 73 = 0 THEN strftime(transe_date, '%d.%m.%Y')
+                     ELSE strftime(transe_date, '%Y-%m-%d %H:%M:%S') END || ';'
+             || CASE WHEN k % 71 = 0 THEN 'n/a' WHEN k % 3 = 0 THEN replace(CAST(amt AS VARCHAR), '.', ',')
+                     ELSE CAST(amt AS VARCHAR) END || ';'
+             || CASE WHEN k % 83 = 0 THEN '"' || card_num || '"' ELSE card_num END || ';'
+             || opertype || ';' || oper_result || ';' || terminal AS l
+      FROM tx)""")
+cte("tx_bad", ("tx_lines",), """
+SELECT file_name, 'transactions' AS feed, file_date, line,
+       CASE WHEN len(f) <> 7 THEN 'field count' WHEN contains(line, '"') THEN 'quoted field'
+            WHEN list_contains(f, '') THEN 'missing field'
+            WHEN try_strptime(f[2], '%Y-%m-%d %H:%M:%S') IS NULL THEN 'bad date'
+            WHEN TRY_CAST(replace(f[3], ',', '.') AS DECIMAL(18,2)) IS NULL THEN 'bad amount' END AS reject_reason
+FROM (SELECT *, string_split(line, ';') AS f FROM tx_lines)""")
+cte("bl_bad", ("bl_feed",), """
+SELECT 'passport_blacklist_' || strftime(file_date, '%d%m%Y') || '.xlsx' AS file_name, 'passport' AS feed, file_date,
+       source_date || ',' || CASE WHEN k % 3 = 0 THEN '' ELSE passport_num END || CASE WHEN k % 5 = 0 THEN ',x' ELSE '' END
+         AS line,
+       CASE WHEN k % 5 = 0 THEN 'field count' ELSE 'null passport' END AS reject_reason
+FROM (SELECT *, CAST(substr(passport_num, 2) AS BIGINT) AS k FROM bl_feed) WHERE k % 5 = 0 OR k % 3 = 0""")
+cte("term_bad", ("snap",), """
+SELECT 'terminals_' || strftime(snap_date, '%d%m%Y') || '.xlsx' AS file_name, 'terminals' AS feed,
+       snap_date AS file_date,
+       CASE WHEN k % 7 = 0 THEN ' ' ELSE terminal_id END || ',' || terminal_type || ',"' || terminal_city || '"'
+         || CASE WHEN k % 11 = 0 THEN '' ELSE ',' || terminal_address END AS line,
+       CASE WHEN k % 11 = 0 THEN 'field count' ELSE 'null terminal' END AS reject_reason
+FROM (SELECT *, CAST(terminal_id AS BIGINT) + day(snap_date) AS k FROM snap) WHERE k % 11 = 0 OR k % 7 = 0""")
+cte("bl_nulls", ("bl_feed",), """
+SELECT CASE WHEN CAST(substr(passport_num, 2) AS BIGINT) % 4 = 0 THEN NULL ELSE passport_num END AS passport_num, file_date
+FROM bl_feed""")
+cte("bl_before", ("bl_nulls",), "SELECT * FROM bl_nulls WHERE file_date < DATE '2024-01-15'")
+cte("bl_after", ("bl_nulls",), "SELECT * FROM bl_nulls WHERE file_date >= DATE '2024-01-15'")
+
 HIST_COLS = "terminal_id, terminal_type, terminal_city, terminal_address, effective_from, effective_to, deleted_flg"
 CHG_COLS = "change_date, terminal_id, terminal_type, terminal_city, terminal_address, change"
 FACT_COLS = "trans_id, transe_date, card_num, opertype, amt, oper_result, terminal, file_date"
@@ -234,6 +273,16 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "feed_pending": (("routed",), "SELECT * FROM routed WHERE file_name NOT IN "
                                   "(SELECT file_name FROM routed WHERE file_date < DATE '2024-01-15')"),
     "tx_text_normalize": (("tx",), "SELECT trans_id, transe_date, card_num, opertype, amt, oper_result, terminal FROM tx"),
+    "tx_rejects": (("tx_bad",), "SELECT * FROM tx_bad WHERE reject_reason IS NOT NULL"),
+    "blacklist_rejects": (("bl_bad",), "SELECT * FROM bl_bad"),
+    "terminal_rejects": (("term_bad",), "SELECT * FROM term_bad"),
+    "blacklist_not_in": (("bl_before", "bl_after"), """
+SELECT 'plain' AS variant, passport_num, file_date FROM bl_after
+WHERE passport_num NOT IN (SELECT passport_num FROM bl_before WHERE passport_num IS NOT NULL)
+UNION ALL SELECT 'nulls', passport_num, file_date FROM bl_after WHERE passport_num NOT IN (SELECT passport_num FROM bl_before)
+UNION ALL SELECT 'empty', passport_num, file_date FROM bl_after
+WHERE passport_num NOT IN (SELECT passport_num FROM bl_before WHERE false)"""),
+    "scd2_late_snapshot": (("hist",), f"SELECT {HIST_COLS} FROM hist"),
     "blacklist_feed": (("bl_feed",), "SELECT passport_num, CAST(split_part(source_date, ' ', 1) AS DATE) "
                                      "AS source_entry_dt, file_date FROM bl_feed"),
     "terminal_snapshot": (("snap",), "SELECT * FROM snap"),

@@ -10,21 +10,24 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.config import PARITY, FEED_PREFIXES, Semantics
-from cardwatch.functions.text import (
-    date_from_file_name, date_text_before_blank, feed_of_file_name, fio,
-)
+from cardwatch.config import PARITY, Semantics
+from cardwatch.functions.text import date_text_before_blank, fio
 from cardwatch.operators import audit, report, rules, scd2
+from cardwatch.operators.joins import not_in
 from cardwatch.operators.lookback import expand_runs
 from cardwatch.plans.context import Inputs
-from cardwatch.schemas import FACT_COLS, HIST_COLS, TERMINAL_ATTRS, TX_TEXT_FIELDS
+from cardwatch.schemas import (
+    BLACKLIST_FEED, FACT_COLS, HIST_COLS, TERMINAL_ATTRS, TERMINAL_SNAPSHOT, TX_TEXT_FIELDS,
+)
+from cardwatch.sources import feeds
 
 # Fixed query parameters (same values in the DuckDB forms).
 MANIFEST_THROUGH = _dt.date(2024, 1, 15)   # batches before this day are already loaded
 ASOF_DAY = _dt.date(2024, 1, 5)            # day of the terminal as-of snapshot
+LATE_DAY = _dt.date(2024, 1, 6)            # snapshot that comes after all others
 FEED_EXT = {"passport": ".xlsx", "terminals": ".xlsx", "transactions": ".txt"}
 FEED_STEM = {"passport": "passport_blacklist_", "terminals": "terminals_", "transactions": "transactions_"}
 
@@ -57,42 +60,81 @@ def _file_names(x: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _route(names: DataFrame) -> DataFrame:
-    feed = feed_of_file_name("file_name")
-    order = F.array_position(F.array(*[F.lit(p) for p in FEED_PREFIXES]), feed).cast("int")
-    return names.select("file_name", feed.alias("feed"), date_from_file_name("file_name").alias("file_date"),
-                        order.alias("feed_order"))
-
-
 @query
 def feed_batches(x: Inputs) -> DataFrame:
     """File names of every feed day, routed by prefix, dated from the name, in batch order."""
-    return _route(_file_names(x))
+    return feeds.route(_file_names(x))
 
 
 @query
 def feed_pending(x: Inputs) -> DataFrame:
     """Batches not yet in the load manifest (manifest = loads before a given day)."""
-    b = _route(_file_names(x))
+    b = feeds.route(_file_names(x))
     manifest = b.filter(F.col("file_date") < F.lit(MANIFEST_THROUGH)).select("file_name")
     return b.join(manifest, "file_name", "left_anti")
 
 
+def _tx_source(x: Inputs) -> dict:
+    """A transaction's text fields in source order; decimal comma on every third id."""
+    amt = F.col("amt").cast("string")
+    return {"trans_id": F.col("trans_id"), "transe_date": F.date_format("transe_date", "yyyy-MM-dd HH:mm:ss"),
+            "amt": F.when(F.col("trans_id").cast("bigint") % 3 == 0, F.regexp_replace(amt, r"\.", ",")).otherwise(amt),
+            "card_num": F.col("card_num"), "opertype": F.col("opertype"), "oper_result": F.col("oper_result"),
+            "terminal": F.col("terminal")}
+
+
+def _day_file(feed: str, day) -> Column:
+    return F.concat(F.lit(FEED_STEM[feed]), F.date_format(day, "ddMMyyyy"), F.lit(FEED_EXT[feed])).alias("file_name")
+
+
 @query
 def tx_text_normalize(x: Inputs) -> DataFrame:
     """';'-lines in source field order (decimal comma on every third id) parsed back to the fact layout."""
-    t = x.tx
-    amt_txt = F.when(F.col("trans_id").cast("bigint") % 3 == 0,
-                     F.regexp_replace(F.col("amt").cast("string"), r"\.", ",")).otherwise(F.col("amt").cast("string"))
-    src = {"trans_id": F.col("trans_id"), "transe_date": F.date_format("transe_date", "yyyy-MM-dd HH:mm:ss"),
-           "amt": amt_txt, "card_num": F.col("card_num"), "opertype": F.col("opertype"),
-           "oper_result": F.col("oper_result"), "terminal": F.col("terminal")}
-    lines = t.select(F.concat_ws(";", *[src[c] for c in TX_TEXT_FIELDS]).alias("line"))
-    from cardwatch.sources.feeds import parse_tx_lines
-    parsed, _ = parse_tx_lines(lines, "line")
+    src = _tx_source(x)
+    lines = x.tx.select(_day_file("transactions", F.col("file_date")),
+                        F.concat_ws(";", *[src[c] for c in TX_TEXT_FIELDS]).alias("line"))
+    parsed, _ = feeds.split_good(feeds.classify_transactions(lines), FACT_COLS)
     return parsed.select(*FACT_COLS[:-1])
 
 
+@query
+def tx_rejects(x: Inputs) -> DataFrame:
+    """Damaged transaction lines as the load rejects them: file, line and reason, by the load's own parser."""
+    src, k = _tx_source(x), F.col("trans_id").cast("bigint")
+    src |= {"card_num": F.when(k % 83 == 0, F.concat(F.lit('"'), F.col("card_num"), F.lit('"'))).otherwise(src["card_num"]),
+            "trans_id": F.when(k % 79 == 0, F.lit("")).otherwise(src["trans_id"]),
+            "transe_date": F.when(k % 73 == 0, F.date_format("transe_date", "dd.MM.yyyy")).otherwise(src["transe_date"]),
+            "amt": F.when(k % 71 == 0, F.lit("n/a")).otherwise(src["amt"])}
+    line = F.concat_ws(";", *[src[c] for c in TX_TEXT_FIELDS])
+    line = F.when(k % 97 == 0, F.concat(line, F.lit(";x"))).when(k % 89 == 0, F.substring_index(line, ";", 6)).otherwise(line)
+    lines = x.tx.select(_day_file("transactions", F.col("file_date")), line.alias("line"))
+    return feeds.split_good(feeds.classify_transactions(lines), FACT_COLS)[1]
+
+
+@query
+def blacklist_rejects(x: Inputs) -> DataFrame:
+    """Damaged passport rows as the load rejects them: no passport, or another number of fields."""
+    k = F.substring("passport_num", 2, 20).cast("bigint")
+    num = F.when(k % 3 == 0, F.lit("")).otherwise(F.col("passport_num"))
+    line = F.concat_ws(",", F.col("source_date"), num)
+    lines = x.bl_feed.select(_day_file("passport", F.col("file_date")),
+                             F.when(k % 5 == 0, F.concat(line, F.lit(",x"))).otherwise(line).alias("line"))
+    rows = feeds.parse_lines(lines, BLACKLIST_FEED.fieldNames(), ",", '"')
+    return feeds.split_good(feeds.classify_blacklist(rows), ["passport_num"])[1]
+
+
+@query
+def terminal_rejects(x: Inputs) -> DataFrame:
+    """Damaged snapshot rows as the load rejects them: no terminal, or another number of fields."""
+    k = F.col("terminal_id").cast("bigint") + F.dayofmonth("snap_date")
+    tid = F.when(k % 7 == 0, F.lit(" ")).otherwise(F.col("terminal_id"))
+    line = F.concat_ws(",", tid, F.col("terminal_type"), F.concat(F.lit('"'), F.col("terminal_city"), F.lit('"')),
+                       F.when(k % 11 != 0, F.col("terminal_address")))
+    lines = x.snap.select(_day_file("terminals", F.col("snap_date")), line.alias("line"))
+    rows = feeds.parse_lines(lines, TERMINAL_SNAPSHOT.fieldNames(), ",", '"')
+    return feeds.split_good(feeds.classify_terminals(rows), ["terminal_id"])[1]
+
+
 @query
 def blacklist_feed(x: Inputs) -> DataFrame:
     """Blacklist feed rows with the date part of the source date text."""
@@ -203,6 +245,21 @@ def blacklist_merge_last_day(x: Inputs) -> DataFrame:
     return before.unionByName(rows.select("passport_num", "entry_dt"))
 
 
+@query
+def blacklist_not_in(x: Inputs) -> DataFrame:
+    """Feed rows whose passport is NOT IN the earlier entries, three-valued: a plain table, one that holds NULLs
+    (and copies), and an empty one."""
+    k = F.substring("passport_num", 2, 20).cast("bigint")
+    num = F.when(k % 4 == 0, F.lit(None)).otherwise(F.col("passport_num")).alias("passport_num")
+    cut = F.col("file_date") < F.lit(MANIFEST_THROUGH)
+    known = x.bl_feed.filter(cut).select(num)
+    feed = x.bl_feed.filter(~cut).select(num, "file_date")
+    tables = {"plain": known.filter("passport_num is not null"), "nulls": known, "empty": known.limit(0)}
+    parts = [not_in(feed, t, "passport_num").select(F.lit(name).alias("variant"), "passport_num", "file_date")
+             for name, t in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def blacklist_table(x: Inputs) -> DataFrame:
     return x.bl_table.select("passport_num", "entry_dt", date_text_before_blank("source_entry_dt").alias("source_entry_dt"))
@@ -228,10 +285,8 @@ def scd2_history_fold(x: Inputs) -> DataFrame:
 
 
 def _last(x: Inputs, df: DataFrame, col: str, name: str):
-    """Newest batch day of an input (one value, kept per input like a statistic)."""
-    from cardwatch.operators.joins import table_stat
-    key = (x.sf_dir, name, "max") if x.sf_dir else None
-    return table_stat(df, F.max(col), key)
+    """Newest batch day of an input (one value)."""
+    return df.agg(F.max(col)).first()[0]
 
 
 @query
@@ -245,6 +300,17 @@ def scd2_merge_last_day(x: Inputs) -> DataFrame:
     return merged.select(*HIST_COLS)
 
 
+@query
+def scd2_late_snapshot(x: Inputs) -> DataFrame:
+    """The history without one day's snapshot, then that day spliced in: the same as all days in order."""
+    days = [r["d"] for r in x.snap.select(F.col("snap_date").alias("d")).distinct().collect()]  # the calendar
+    before, after = max(d for d in days if d < LATE_DAY), min(d for d in days if d > LATE_DAY)
+    hist = scd2.backfill(x.snap.filter(F.col("snap_date") != F.lit(LATE_DAY)), "terminal_id", list(TERMINAL_ATTRS))
+    late = x.snap.filter(F.col("snap_date") == F.lit(LATE_DAY))
+    found = scd2.splice(hist, late, LATE_DAY, before, after, "terminal_id", TERMINAL_ATTRS)
+    return scd2.spliced(hist, found, "terminal_id", TERMINAL_ATTRS).select(*HIST_COLS)
+
+
 @query
 def scd2_new(x: Inputs) -> DataFrame:
     return _changes(x, scd2.NEW, scd2.RETURNED)

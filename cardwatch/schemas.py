@@ -63,3 +63,9 @@ AUDIT = T.StructType([
     T.StructField("new_rows", T.LongType()), T.StructField("updated_rows", T.LongType()),
     T.StructField("deleted_rows", T.LongType()),
 ])
+
+# Rejected rows of every feed, as they came.
+REJECTS = T.StructType([
+    T.StructField("file_name", S), T.StructField("feed", S), T.StructField("file_date", D), T.StructField("line", S),
+    T.StructField("reject_reason", S),
+])

@@ -15,11 +15,17 @@ from pyspark.sql import functions as F
 
 from cardwatch.config import FEED_PREFIXES
 from cardwatch.functions.text import date_from_file_name, date_text_before_blank, feed_of_file_name, parse_amount
-from cardwatch.schemas import BLACKLIST_FEED, FACT_COLS, TERMINAL_SNAPSHOT, TX_TEXT, TX_TEXT_FIELDS
+from cardwatch.schemas import BLACKLIST_FEED, FACT_COLS, TERMINAL_SNAPSHOT, TX_TEXT_FIELDS
 
 
-def _feed_order():
-    return F.array_position(F.array(*[F.lit(p) for p in FEED_PREFIXES]), F.col("feed")).cast("int")
+def route(names: DataFrame) -> DataFrame:
+    """``names`` (file_name) with the feed its prefix names, its batch date and its place among a day's feeds.
+
+    Hidden files (a name that starts with a dot or an underscore) have no feed; Spark's own file listing skips them.
+    """
+    order = F.array_position(F.array(*[F.lit(p) for p in FEED_PREFIXES]), F.col("feed")).cast("int")
+    return names.withColumn("feed", feed_of_file_name("file_name")).withColumn(
+        "file_date", date_from_file_name("file_name")).withColumn("feed_order", order)
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,10 +38,8 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
 
 def classify(found: DataFrame) -> DataFrame:
     """File metadata (the binaryFile columns) -> name, feed, batch date, order, and a reason when unusable."""
-    files = found.select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                         F.col("length"), F.col("modificationTime"))
-    out = files.withColumn("feed", feed_of_file_name("file_name")).withColumn(
-        "file_date", date_from_file_name("file_name")).withColumn("feed_order", _feed_order())
+    out = route(found.select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                             F.col("length"), F.col("modificationTime")))
     reason = F.when(F.col("feed").isNull(), "unknown prefix").when(F.col("file_date").isNull(), "no date in name")
     # passport and terminal feeds come as CSV or Parquet; anything else must not pass as an empty feed
     table_feed = F.col("feed").isin("passport", "terminals")
@@ -51,33 +55,90 @@ def pending(discovered: DataFrame, manifest: DataFrame | None) -> DataFrame:
     return ok
 
 
-def parse_tx_lines(df: DataFrame, line_col: str) -> tuple[DataFrame, DataFrame]:
-    """';'-separated text lines (source field order) -> (fact rows, rejects)."""
-    parts = F.split(F.trim(F.col(line_col)), ";")
-    fields = {c: F.trim(F.get(parts, i)) for i, c in enumerate(TX_TEXT_FIELDS)}
-    x = df.select("*", *[v.alias(f"_f_{k}") for k, v in fields.items()], F.size(parts).alias("_n"))
-    return _normalize(x, "_f_", n_fields=F.col("_n"))
+# ---------------------------------------------------------------- lines, one parser for load and queries
 
+#: columns of a rejected row, the same for every feed
+REJECT_COLS = ["file_name", "feed", "file_date", "line", "reject_reason"]
+#: a character that no feed holds: read with it as the separator, a line stays one column
+_NO_SEP = "\u0001"
 
-def _normalize(x: DataFrame, prefix: str, n_fields=None, file_date=None) -> tuple[DataFrame, DataFrame]:
-    ts = F.try_to_timestamp(F.col(f"{prefix}transe_date"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-    amt = parse_amount(f"{prefix}amt")
-    x = x.withColumn("_ts", ts).withColumn("_amt", amt)
-    missing = None
-    for c in TX_TEXT_FIELDS:
-        m = F.col(f"{prefix}{c}").isNull() | (F.col(f"{prefix}{c}") == "")
-        missing = m if missing is None else (missing | m)
-    reason = F.when(missing if n_fields is None else (n_fields != len(TX_TEXT_FIELDS)) | missing,
-                    "field count").when(F.col("_ts").isNull(), "bad date").when(F.col("_amt").isNull(), "bad amount")
+
+def scan_lines(spark: SparkSession, source: str | list[str], glob: str) -> DataFrame:
+    """Lines of text feeds as they are, with their file name, without each file's header line."""
+    paths, opts = _paths(source, glob)
+    raw = (spark.read.schema("line string, _whole string").option("sep", _NO_SEP).option("quote", "")
+           .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_whole")
+           .options(**opts).csv(paths))
+    return raw.select(F.col("_metadata.file_name").alias("file_name"), F.coalesce("_whole", "line").alias("line"))
+
+
+def parse_lines(lines: DataFrame, fields: list[str], sep: str, quote: str) -> DataFrame:
+    """``lines`` (file_name, line) plus the text fields and ``_bad``, the line where their number does not fit.
+
+    Fields are trimmed; an empty field is NULL.
+    """
+    ddl = ", ".join([*[f"`{c}` string" for c in fields], "_bad string"])
+    opts = {"sep": sep, "quote": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad",
+            "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    return lines.withColumn("_p", F.from_csv(F.trim("line"), ddl, opts)).select("file_name", "line", "_p.*")
+
+
+def _classified(x: DataFrame, feed: str, values: dict, reason) -> DataFrame:
+    """One frame of good and rejected rows: the feed's columns, then file_name, feed, file_date, line and reject_reason.
+
+    A good row has no reason and no line; a rejected one has only its line and the reason.
+    """
     x = x.withColumn("reject_reason", reason)
-    fd = file_date if file_date is not None else F.to_date("_ts")
-    good = x.filter(F.col("reject_reason").isNull()).select(
-        F.col(f"{prefix}trans_id").alias("trans_id"), F.col("_ts").alias("transe_date"),
-        F.col(f"{prefix}card_num").alias("card_num"), F.col(f"{prefix}opertype").alias("opertype"),
-        F.col("_amt").alias("amt"), F.col(f"{prefix}oper_result").alias("oper_result"),
-        F.col(f"{prefix}terminal").alias("terminal"), fd.alias("file_date"))
-    bad = x.filter(F.col("reject_reason").isNotNull())
-    return good.select(*FACT_COLS), bad
+    ok = F.col("reject_reason").isNull()
+    return x.select(*[F.when(ok, v).alias(c) for c, v in values.items()], "file_name", F.lit(feed).alias("feed"),
+                    date_from_file_name("file_name").alias("file_date"), F.when(~ok, F.col("line")).alias("line"), "reject_reason")
+
+
+def split_good(classified: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    return (classified.filter(F.col("reject_reason").isNull()).select(*cols),
+            classified.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLS))
+
+
+def classify_transactions(lines: DataFrame) -> DataFrame:
+    """Transaction lines (file_name, line) -> good rows in the fact layout and rejected rows.
+
+    Rejected: another number of fields than seven, a quoted field (the format has no quotes), a missing field,
+    an unreadable time or amount. The batch date comes from the file name.
+    """
+    x = parse_lines(lines, TX_TEXT_FIELDS, ";", "")
+    ts = F.try_to_timestamp(F.col("transe_date"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    missing, quoted = F.lit(False), F.lit(False)
+    for c in TX_TEXT_FIELDS:
+        missing = missing | F.col(c).isNull()
+        quoted = quoted | F.coalesce(F.col(c).contains('"'), F.lit(False))
+    x = x.withColumn("_ts", ts).withColumn("_amt", parse_amount("amt"))
+    reason = (F.when(F.col("_bad").isNotNull(), "field count").when(quoted, "quoted field")
+              .when(missing, "missing field").when(F.col("_ts").isNull(), "bad date")
+              .when(F.col("_amt").isNull(), "bad amount"))
+    values = {c: F.col(c) for c in FACT_COLS[:-1]} | {"transe_date": F.col("_ts"), "amt": F.col("_amt")}
+    return _classified(x, "transactions", values, reason)
+
+
+def classify_blacklist(rows: DataFrame, keep_null: bool = False) -> DataFrame:
+    """Parsed passport rows (file_name, line, date, passport, _bad) -> good and rejected rows.
+
+    A row without a passport is rejected, unless ``keep_null`` (the parity preset stores it).
+    """
+    x = rows.withColumn("_num", F.trim("passport"))
+    reason = F.when(F.col("_bad").isNotNull(), "field count")
+    if not keep_null:
+        reason = reason.when(F.coalesce(F.col("_num"), F.lit("")) == "", "null passport")
+    return _classified(x, "passport", {"passport_num": F.col("_num"),
+                                       "source_entry_dt": date_text_before_blank("date")}, reason)
+
+
+def classify_terminals(rows: DataFrame, keep_null: bool = False) -> DataFrame:
+    """Parsed terminal rows (file_name, line, the snapshot's columns, _bad) -> good and rejected rows."""
+    names = TERMINAL_SNAPSHOT.fieldNames()
+    reason = F.when(F.col("_bad").isNotNull(), "field count")
+    if not keep_null:
+        reason = reason.when(F.coalesce(F.trim("terminal_id"), F.lit("")) == "", "null terminal")
+    return _classified(rows, "terminals", {c: F.trim(c) for c in names}, reason)
 
 
 def _paths(source: str | list[str], glob: str) -> tuple[str | list[str], dict]:
@@ -89,52 +150,45 @@ def _paths(source: str | list[str], glob: str) -> tuple[str | list[str], dict]:
 
 def read_transactions(spark: SparkSession, source: str | list[str],
                       glob: str = "transactions*") -> tuple[DataFrame, DataFrame]:
-    """Scan transaction text files (a folder, or the files of one batch);
-    returns (fact rows with file_date, rejects with file name)."""
-    paths, opts = _paths(source, glob)
-    raw = (spark.read.schema(TX_TEXT).option("sep", ";").option("header", True)
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-           .option("mode", "PERMISSIVE").options(**opts).csv(paths))
-    return normalize_tx_frame(raw.withColumn("file_name", F.col("_metadata.file_name")))
-
-
-def normalize_tx_frame(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raw string columns in source layout (plus ``file_name``) -> (fact rows, rejects)."""
-    x = raw.select(*[F.col(c).alias(f"_f_{c}") for c in TX_TEXT_FIELDS], "file_name")
-    good, bad = _normalize(x, "_f_", file_date=date_from_file_name("file_name"))
-    # the batch date comes from the file name
-    return good, bad.select("file_name", *[F.col(f"_f_{c}").alias(c) for c in TX_TEXT_FIELDS], "reject_reason")
+    """Scan transaction text files (a folder, or the files of one batch); (fact rows with file_date, rejects)."""
+    return split_good(classify_transactions(scan_lines(spark, source, glob)), FACT_COLS)
 
 
-def _tabular(spark: SparkSession, source: str | list[str], prefix: str, schema) -> DataFrame:
-    """Tabular feed files of one prefix: ``*.csv`` (header line) and ``*.parquet``, by position.
+def table_rows(spark: SparkSession, source: str | list[str], prefix: str, schema) -> DataFrame:
+    """Rows of tabular feed files of one prefix, ``*.csv`` (header line) and ``*.parquet``: file_name, line, the
+    schema's columns by position, ``_bad``.
 
-    ``source`` is a folder or the explicit files of one batch. Columns are
-    taken by position, as the feed layout is fixed; Parquet columns are
-    renamed to the schema's names in order.
+    ``source`` is a folder or the explicit files of one batch. A Parquet file of another number of columns has
+    only bad rows. The line of a Parquet row is its values as CSV.
     """
+    names = schema.fieldNames()
     if isinstance(source, (list, tuple)):
-        csv_src = [p for p in source if p.endswith(".csv")]
-        pq_src = [p for p in source if p.endswith(".parquet")]
-        csv_opts: dict = {}
+        csv_src: str | list[str] = [p for p in source if p.endswith(".csv")]
+        pq_src: str | list[str] = [p for p in source if p.endswith(".parquet")]
         pq_opts: dict = {}
     else:
         csv_src, pq_src = source, source
-        csv_opts, pq_opts = {"pathGlobFilter": f"{prefix}*.csv"}, {"pathGlobFilter": f"{prefix}*.parquet"}
+        pq_opts = {"pathGlobFilter": f"{prefix}*.parquet"}
     parts = []
     if csv_src:
-        csv = spark.read.schema(schema).option("header", True).options(**csv_opts).csv(csv_src)
-        parts.append(csv.withColumn("file_name", F.col("_metadata.file_name")))
+        parts.append(parse_lines(scan_lines(spark, csv_src, f"{prefix}*.csv"), names, ",", '"'))
     if pq_src:
         try:
             pq = spark.read.options(**pq_opts).parquet(*([pq_src] if isinstance(pq_src, str) else pq_src))
-            pq = pq.select(*[F.col(f"`{c}`").cast("string").alias(n)
-                             for c, n in zip(pq.columns, schema.fieldNames())])
-            parts.append(pq.withColumn("file_name", F.col("_metadata.file_name")))
-        except AnalysisException:  # no Parquet feed of this kind in the folder
-            pass
+        except AnalysisException as e:  # no Parquet feed of this kind in the folder
+            if isinstance(source, (list, tuple)) or e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        else:
+            cols = [F.col(f"`{c}`").cast("string") for c in pq.columns]
+            line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cols])
+            fits = len(cols) == len(names)
+            text = F.lit(None).cast("string")
+            parts.append(pq.select(F.col("_metadata.file_name").alias("file_name"), line.alias("line"),
+                                   *[(cols[i] if fits else text).alias(n) for i, n in enumerate(names)],
+                                   (text if fits else line).alias("_bad")))
     if not parts:
-        return spark.createDataFrame([], schema).withColumn("file_name", F.lit(None).cast("string"))
+        return spark.createDataFrame([], "file_name string, line string, " + ", ".join(f"`{n}` string" for n in names)
+                                     + ", _bad string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -143,14 +197,11 @@ def _tabular(spark: SparkSession, source: str | list[str], prefix: str, schema)
 
 def read_blacklist(spark: SparkSession, folder: str | list[str], prefix: str = "passport") -> DataFrame:
     """Blacklist feed rows ``(date, passport)`` -> (passport_num, source_entry_dt, file_date)."""
-    raw = _tabular(spark, folder, prefix, BLACKLIST_FEED)
-    return raw.select(F.trim("passport").alias("passport_num"),
-                      date_text_before_blank("date").alias("source_entry_dt"),
-                      date_from_file_name("file_name").alias("file_date"))
+    return split_good(classify_blacklist(table_rows(spark, folder, prefix, BLACKLIST_FEED)),
+                      ["passport_num", "source_entry_dt", "file_date"])[0]
 
 
 def read_terminals(spark: SparkSession, folder: str | list[str], prefix: str = "terminals") -> DataFrame:
     """Terminal snapshot rows with their snapshot day."""
-    raw = _tabular(spark, folder, prefix, TERMINAL_SNAPSHOT)
-    return raw.select(*[F.trim(c).alias(c) for c in TERMINAL_SNAPSHOT.fieldNames()],
-                      date_from_file_name("file_name").alias("snap_date"))
+    found = classify_terminals(table_rows(spark, folder, prefix, TERMINAL_SNAPSHOT))
+    return split_good(found, [*TERMINAL_SNAPSHOT.fieldNames(), "file_date"])[0].withColumnRenamed("file_date", "snap_date")
