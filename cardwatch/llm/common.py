@@ -94,7 +94,7 @@ def letter_table() -> np.ndarray:
     c = worker_cache("letters")
     if "t" not in c:
         t = np.zeros(0x110000, np.uint8)
-        for i in range(0x32000):
+        for i in range(0x34000):  # the last letters that Unicode has given out lie below
             ch = chr(i)
             t[i] = 1 if ch.isalpha() else 2 if ch.isalnum() or 0x300 <= i < 0x370 else 0
         c["t"] = t

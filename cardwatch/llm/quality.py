@@ -203,13 +203,18 @@ def strengths(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 
 def scored(strong: DataFrame, model: QualityModel) -> DataFrame:
-    """doc_id, score and predicted (the strength reaches the threshold) of rows with strengths."""
+    """doc_id, score and predicted (the score reaches the cut, as the strength does the threshold) of rows with strengths."""
     if not len(model.weights):
         return strong.select("doc_id", F.lit(0.5).alias("score"), F.lit(int(0.5 >= model.cut)).alias("predicted"))
     shift = float(np.log(model.cut / (1 - model.cut)))
     far = F.greatest(F.least(F.col("s") - F.lit(model.threshold) + F.lit(shift), F.lit(500.0)), F.lit(-500.0))
-    return strong.select("doc_id", (1 / (1 + F.exp(-far))).alias("score"),
-                         (F.col("s") >= F.lit(model.threshold)).cast("int").alias("predicted"))
+    # rounding must not move a strength at the threshold across the cut: ``predicted`` is read off the score
+    score_ = 1 / (1 + F.exp(-far))
+    below = float(np.nextafter(model.cut, 0.0))
+    score_ = F.when(F.col("s") >= F.lit(model.threshold), F.greatest(score_, F.lit(model.cut))).otherwise(
+        F.least(score_, F.lit(below)))
+    return strong.select("doc_id", score_.alias("score")).withColumn(
+        "predicted", (F.col("score") >= F.lit(model.cut)).cast("int"))
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:
