@@ -41,27 +41,55 @@ class SecretConfig:
     owner: str = "source"
 
 
-def spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0, hint: Column | None = None) -> Column:
-    """All leftmost non-overlapping matches as structs (start, kind, end, value), end exclusive.
+#: matches of a text that are walked together
+PART = 256
 
-    The text is split at the matches: a match starts after the pieces and matches before it.
-    """
-    empty = F.array().cast("array<struct<s:int,k:int,e:int,v:string>>")
-    pieces = F.split(text, pattern)
+
+def cut(text: Column, pattern: str, group: int = 0, hint: Column | None = None) -> Column:
+    """The text cut at the pattern's matches: structs (p: text before, m: match, v: the match's value), in order."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    rows = F.arrays_zip(pieces.alias("p"), found.alias("m"), value.alias("v"))
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    walked = F.aggregate(
-        rows, zero,
-        lambda s, r: F.struct(
-            (s["at"] + F.length(r["p"]) + F.coalesce(F.length(r["m"]), F.lit(0))).alias("at"),
-            F.when(r["m"].isNull() | (F.length(r["v"]) < least), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(r["p"])).alias("s"), F.lit(kind).alias("k"),
-                (s["at"] + F.length(r["p"]) + F.length(r["m"])).alias("e"), r["v"].alias("v"))))).alias("out")),
-        lambda s: s["out"])
+    rows = F.arrays_zip(F.split(text, pattern).alias("p"), found.alias("m"), value.alias("v"))
     test = text.rlike(pattern) if hint is None else hint & text.rlike(pattern)
-    return F.when(test, walked).otherwise(empty)
+    return F.when(test, rows).otherwise(F.array().cast("array<struct<p:string,m:string,v:string>>"))
+
+
+def _length(r: Column) -> Column:
+    return F.length(r["p"]) + F.coalesce(F.length(r["m"]), F.lit(0))
+
+
+def _part(rows: Column, i: Column) -> Column:
+    return F.slice(rows, i * PART + 1, F.lit(PART))
+
+
+def part_starts(rows: Column) -> Column:
+    """Where each part of PART matches starts in the text."""
+    last = F.greatest(F.ceil(F.size(rows) / PART).cast("int") - 1, F.lit(0))
+    lengths = F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(
+        _part(rows, i), F.lit(0), lambda n, r: n + _length(r)))
+    return F.aggregate(lengths, F.array(F.lit(0)), lambda at, n: F.concat(at, F.array(F.element_at(at, -1) + n)))
+
+
+def spans(rows: Column, starts: Column, kind: int, least: int = 0) -> Column:
+    """All leftmost non-overlapping matches as structs (s: start, k: kind, e: end, v: value), end exclusive.
+
+    A match starts after the pieces and matches before it. They are summed up part by part, so that a text with very
+    many matches is not copied once a match.
+    """
+    empty = F.array().cast("array<struct<s:int,k:int,e:int,v:string>>")
+
+    def walk(i: Column) -> Column:
+        zero = F.struct(F.element_at(starts, i + 1).alias("at"), empty.alias("out"))
+        return F.aggregate(
+            _part(rows, i), zero,
+            lambda s, r: F.struct(
+                (s["at"] + _length(r)).alias("at"),
+                F.when(r["m"].isNull() | (F.length(r["v"]) < least), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + F.length(r["p"])).alias("s"), F.lit(kind).alias("k"),
+                    (s["at"] + _length(r)).alias("e"), r["v"].alias("v"))))).alias("out")),
+            lambda s: s["out"])
+
+    return F.when(F.size(rows) > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.size(starts) - 2), walk))).otherwise(empty)
 
 
 def scan(docs: DataFrame, cfg: SecretConfig = SecretConfig()) -> DataFrame:
@@ -70,13 +98,18 @@ def scan(docs: DataFrame, cfg: SecretConfig = SecretConfig()) -> DataFrame:
     d = docs.select(F.col(cfg.repo).cast("long").alias("doc_id"), F.col(cfg.owner).cast("string").alias("_o"),
                     t.alias("_t"))
     text = F.col("_t")
-    d = d.select("doc_id", "_o", F.array_sort(F.concat(
-        spans(text, ASSIGN, 0, ASSIGN_LEAST, 2, text.contains(":") | text.contains("=")),
-        spans(text, ACCESS, 1, hint=text.contains("AKIA")),
-        spans(text, HEX, 2),
-        spans(text, PROVIDER, 3, hint=text.rlike("[_-]|AIza")),
-        spans(text, PEM, 4, hint=text.contains("-----BEGIN")))).alias("_s"))
-    return d
+    least = {0: ASSIGN_LEAST}
+    # column by column: each step reads the one before many times
+    d = d.select("doc_id", "_o",
+                 cut(text, ASSIGN, 2, text.contains(":") | text.contains("=")).alias("_r0"),
+                 cut(text, ACCESS, hint=text.contains("AKIA")).alias("_r1"),
+                 cut(text, HEX).alias("_r2"),
+                 cut(text, PROVIDER, hint=text.rlike("[_-]|AIza")).alias("_r3"),
+                 cut(text, PEM, hint=text.contains("-----BEGIN")).alias("_r4"))
+    rows = [f"_r{k}" for k in range(len(KINDS))]
+    d = d.select("doc_id", "_o", *rows, *[part_starts(F.col(r)).alias(f"_a{k}") for k, r in enumerate(rows)])
+    found = [spans(F.col(r), F.col(f"_a{k}"), k, least.get(k, 0)) for k, r in enumerate(rows)]
+    return d.select("doc_id", "_o", F.array_sort(F.concat(*found)).alias("_s"))
 
 
 def joined(col: str, base_only: bool) -> Column:
@@ -101,31 +134,33 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 
 def classify(scanned: DataFrame, cfg: SecretConfig = SecretConfig()) -> DataFrame:
-    """Counts by class for each document that has a candidate: n_live and n_example spans, most owners of a value."""
-    one = scanned.filter(F.size("_s") > 0).select(F.col("doc_id").alias("_d"), F.explode("_s").alias("_x")).select(
-        "_d", F.sha2(F.col("_x.v").cast("binary"), 256).alias("_h"),
+    """Counts by class for each row (``_row``) that has a candidate: n_live and n_example spans, most repositories
+    of a value."""
+    one = scanned.filter(F.size("_s") > 0).select("_row", F.explode("_s").alias("_x")).select(
+        "_row", F.sha2(F.col("_x.v").cast("binary"), 256).alias("_h"),
         (F.size(F.array_distinct(F.split(F.col("_x.v"), ""))) >= cfg.least_distinct).alias("_rich"))
     o = ownership(scanned)
     seen = one.join(o, "_h")
     example = F.col("n_owners") >= cfg.common_owners
-    return seen.groupBy("_d").agg(
+    return seen.groupBy("_row").agg(
         F.sum(F.when(~example & F.col("_rich"), 1).otherwise(0)).cast("long").alias("n_live"),
         F.sum(F.when(example, 1).otherwise(0)).cast("long").alias("n_example"),
         F.max("n_repos").alias("max_repos"))
 
 
 def report(docs: DataFrame, cfg: SecretConfig = SecretConfig()) -> DataFrame:
-    scanned = keep(docs.sparkSession, scan(docs, cfg), "secrets")
-    seen = classify(scanned, cfg)
+    # a row's number is written with it, so every row keeps its own verdict, whatever its doc_id
+    scanned = keep(docs.sparkSession, scan(docs, cfg).withColumn("_row", F.monotonically_increasing_id()), "secrets")
+    seen = classify(scanned, cfg).withColumnRenamed("_row", "_d")
 
     def of_kind(k: int) -> Column:
         return F.size(F.filter("_s", lambda x: x["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
 
     counts = [of_kind(k) for k in range(3)]
-    d = scanned.select("doc_id", *counts, F.sha2(joined("_s", True).cast("binary"), 256).alias("base_sha256"),
+    d = scanned.select("_row", "doc_id", *counts, F.sha2(joined("_s", True).cast("binary"), 256).alias("base_sha256"),
                        joined("_s", False).alias("spans"))
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_live", "n_example", "max_repos")]
-    return d.join(seen, d.doc_id == seen["_d"], "left").select(*d.columns, *zero)
+    return d.join(seen, d["_row"] == seen["_d"], "left").select(*[c for c in d.columns if c != "_row"], *zero)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
