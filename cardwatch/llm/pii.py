@@ -38,7 +38,7 @@ FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señor
 EITHER = ["Dr", "Prof"]
 
 ENTITY = re.compile(
-    r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    r"(?P<email>[\w.%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
@@ -67,19 +67,53 @@ def canonical(kind: str, value: str) -> str:
     return value.lower() if kind == "email" else value
 
 
+_WORD = re.compile(r"[^\W\d_]\w*")
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, canonical form) of a text's entities, leftmost first, without overlaps."""
+    """(start, end, kind, canonical form) of a text's entities, leftmost first, without overlaps.
+
+    A name is one entity of its document whatever its title: its gender is that of its gendered mentions (the first
+    one decides), and where it stands again without a title it is the same entity.
+    """
     if not text or not HINT.search(text):
         return []
-    out = []
+    out, sexes = [], {}
     for m in ENTITY.finditer(text):
         kind = m.lastgroup
         if kind == "name":
-            title = m["title"]
+            title, name = m["title"], m["name"]
             sex = "m" if title in MALE else "f" if title in FEMALE else "n"
-            out.append((m.start("name"), m.end("name"), "name-" + sex, m["name"]))
+            if sexes.get(name, "n") == "n":
+                sexes[name] = sex
+            out.append((m.start("name"), m.end("name"), "name", name))
         else:
             out.append((m.start(), m.end(), kind, canonical(kind, m[0])))
+    if not sexes:
+        return out
+    for a, b, name in _again(text, sexes):
+        out.append((a, b, "name", name))
+    out.sort(key=lambda x: (x[0], -x[1]))
+    kept, end = [], 0
+    for x in out:
+        if x[0] >= end:
+            kept.append((x[0], x[1], "name-" + sexes[x[3]], x[3]) if x[2] == "name" else x)
+            end = x[1]
+    return kept
+
+
+def _again(text: str, names: dict) -> list[tuple[int, int, str]]:
+    """Places where the names stand as whole words: one pass over the words, the longer of two names first."""
+    first: dict[str, list[str]] = {}
+    for n in names:
+        first.setdefault(n.split(" ")[0], []).append(n)
+    out = []
+    for m in _WORD.finditer(text):
+        for n in sorted(first.get(m[0], ()), key=len, reverse=True):
+            end = m.start() + len(n)
+            if text.startswith(n, m.start()) and not (end < len(text) and (text[end].isalnum() or text[end] == "_")):
+                out.append((m.start(), end, n))
+                break
     return out
 
 
@@ -106,24 +140,30 @@ def luhn(digits: str) -> bool:
 
 _SCRIPTS = {  # vowels and consonants that names are spelt with
     "latin": ("aeiou", "bdfgklmnprstvz"), "cyrillic": ("аеиоу", "бвгдклмнпрст"), "greek": ("αειου", "βγδκλμνπρστ")}
+#: first and last code point of the letters of scripts without capitals, from which a letter is drawn
+_RANGES = [("ا", "غ"), ("ف", "ي"), ("א", "ת"), ("ぁ", "ん"), ("ァ", "ン"), ("一", "龥"), ("가", "힣"), ("अ", "ह"), ("ก", "ฮ")]
+
+
+def _alike(d: Draw, c: str) -> str:
+    """A letter of the script and case of ``c``."""
+    for low, high in _RANGES:
+        if low <= c <= high:
+            return chr(ord(low) + d.below(ord(high) - ord(low) + 1))
+    low = c.lower()
+    x = (chr(ord("а") + d.below(32)) if "а" <= low <= "ӿ" else chr(ord("α") + d.below(17)) if "ά" <= low <= "ώ"
+         else "abcdefghijklmnopqrstuvwxyz"[d.below(26)])
+    return x.upper() if c.isupper() else x
 
 
 def _letters(d: Draw, text: str) -> str:
-    """Letters for letters and digits for digits, in the same case; other characters stay."""
-    out = []
-    for c in text:
-        if c.isdigit():
-            out.append(str(d.below(10)))
-        elif c.isalpha():
-            x = "abcdefghijklmnopqrstuvwxyz"[d.below(26)]
-            out.append(x.upper() if c.isupper() else x)
-        else:
-            out.append(c)
-    return "".join(out)
+    """Letters for letters and digits for digits, in the same script and case; other characters stay."""
+    return "".join(str(d.below(10)) if c.isdigit() else _alike(d, c) if c.isalpha() else c for c in text)
 
 
 def _name(d: Draw, name: str, sex: str, more: int = 0) -> str:
     first = name[0]
+    if any(low <= first <= high for low, high in _RANGES):  # no vowels and capitals to keep: letters of the script
+        return " ".join(_letters(d, w + w[-1] * more) for w in name.split(" "))
     script = "cyrillic" if "Ѐ" <= first <= "ӿ" else "greek" if "Ͱ" <= first <= "Ͽ" else "latin"
     vowels, consonants = _SCRIPTS[script]
     words = []
@@ -184,7 +224,7 @@ def rewrite(text: str, found: list, key: bytes, attempts: dict[tuple[str, str],
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind, canon): the distinct entities of each document."""
+    """(key, kind, canon): the distinct entities of each text; a text's key is its hash."""
     def run(batches):
         for b in chunks(batches):
             rows = [(i, k, c) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
@@ -193,9 +233,9 @@ def entities(docs: DataFrame) -> DataFrame:
                 cols = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string()))],
-                    names=["doc_id", "kind", "canon"])
+                    names=["key", "kind", "canon"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, kind string, canon string")
+    return docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(run, "key long, kind string, canon string")
 
 
 def redraws(distinct: DataFrame, cfg: PiiConfig) -> DataFrame | None:
@@ -213,11 +253,16 @@ def redraws(distinct: DataFrame, cfg: PiiConfig) -> DataFrame | None:
         return df.select("kind", "canon", "attempt").mapInArrow(run, "kind string, canon string, attempt int, sur string")
 
     now = keep(spark, draw(distinct.withColumn("attempt", F.lit(0))), "surrogates")
-    real = distinct.select(F.col("kind").alias("_k"), F.col("canon").alias("_c"))
+    # what is read as one kind of thing is kept apart as one: names of all genders, all runs of digits
+    family = F.when(F.col("kind").startswith("name"), F.lit("name")).when(
+        F.col("kind").isin("card", "phone", "ssn"), F.lit("digits")).otherwise(F.col("kind"))
+    real = distinct.select(family.alias("_k"), F.col("canon").alias("_c")).distinct()
+    who = F.struct("kind", "canon")
     while True:
-        twice = now.groupBy("kind", "sur").agg(F.count(F.lit(1)).alias("n"), F.min("canon").alias("first")).filter("n > 1")
-        late = now.join(twice, ["kind", "sur"]).filter("canon <> first").select("kind", "canon")
-        taken = now.join(real, (F.col("kind") == F.col("_k")) & (F.col("sur") == F.col("_c")), "left_semi")
+        now_ = now.withColumn("family", family)
+        twice = now_.groupBy("family", "sur").agg(F.count(F.lit(1)).alias("n"), F.min(who).alias("first")).filter("n > 1")
+        late = now_.join(twice, ["family", "sur"]).filter(who != F.col("first")).select("kind", "canon")
+        taken = now_.join(real, (F.col("family") == F.col("_k")) & (F.col("sur") == F.col("_c")), "left_semi")
         bad = keep(spark, late.unionByName(taken.select("kind", "canon")).distinct(), "redraw")
         if bad.isEmpty():
             changed = now.filter("attempt > 0").select("kind", "canon", "attempt")
@@ -234,10 +279,11 @@ def replace(docs: DataFrame, cfg: PiiConfig = PiiConfig(), counts: bool = False)
     cols, redrawn = docs.columns, again is not None
     src = docs
     if again is not None:
-        # the redraws of each document's own entities; Spark broadcasts them if they are small enough
-        per_doc = of_docs.join(again, ["kind", "canon"]).groupBy(F.col("doc_id").alias("_pii_doc")).agg(
+        # the redraws of each text's own entities, however many documents have the text; Spark broadcasts them if
+        # they are small enough
+        per_text = of_docs.distinct().join(again, ["kind", "canon"]).groupBy(F.col("key").alias("_pii_key")).agg(
             F.collect_set(F.struct("kind", "canon", "attempt")).alias("_pii_redraw"))
-        src = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_pii_doc")), "left").drop("_pii_doc")
+        src = docs.join(per_text, F.xxhash64("text") == F.col("_pii_key"), "left").drop("_pii_key")
     at, long = cols.index("text"), cols.index("n_chars") if "n_chars" in cols else None
     kinds = [*docs.schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
