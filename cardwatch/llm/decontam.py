@@ -22,6 +22,7 @@ import math
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -266,7 +267,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cfg: DecontamConfig = De
     for i in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id").collect()
         items = Items([r[0] for r in rows], [r[1] for r in rows], cfg)
-        found = d.mapInArrow(_finder(spark.sparkContext.broadcast(items)), RESULT)
+        # arrays only, no class of this package: executors need no copy of it
+        shared = spark.sparkContext.broadcast({k: v for k, v in vars(items).items() if k != "cfg"})
+        found = d.mapInArrow(_finder(shared), RESULT)
         out = found if out is None else out.unionByName(found)
     best = F.min(F.struct("edits", "start_word", "similarity")).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select(
@@ -275,7 +278,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cfg: DecontamConfig = De
 
 def _finder(shared):
     def run(batches):
-        items = shared.value
+        items = SimpleNamespace(**shared.value)
         for b in chunks(batches):
             best: dict = {}
             for doc, item, edits, start in matches(column(b, 1), items):
