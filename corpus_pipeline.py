@@ -1,6 +1,10 @@
 """The corpus pipeline: language ID, SimHash near duplicates, decontamination, PII surrogates, packing.
 
 Each stage works on what its predecessor kept; all but the last return the columns of ``documents``.
+
+Defined results of all stages: rows are judged one by one, so repeated and NULL doc_ids never take another row along;
+rows that repeat as a whole are near duplicates of each other, and one stays; NULL and empty texts have no language and go
+with the first stage; very long texts are read whole; extra columns stay as they are; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,9 +20,14 @@ from cardwatch.llm.pii import replace
 from cardwatch.llm.simhash import SimHashConfig, cluster
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``gone`` (column _gone); rows with NULL doc_id stay."""
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for every row (_row), written with it: rows are told apart whatever their doc_id."""
+    return keep(docs.sparkSession, docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """Row number (as doc_id) and text, as the operators read documents."""
+    return docs.select(F.col("_row").alias("doc_id"), "text")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +37,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group (three-word shingles, three bits) the document with the smallest doc_id."""
-    found = cluster(docs, SimHashConfig(shingle=3, max_bits=3))
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return without(docs, keep(spark, gone, "duplicates"))
+    """Of each SimHash group (three-word shingles, three bits) one row: of the smallest doc_id (NULL last, then the
+    first in the table). Empty and NULL texts have one fingerprint and are one group."""
+    rows = numbered(docs, "duplicate-rows")
+    found = cluster(by_row(rows), SimHashConfig(shingle=3, max_bits=3)).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
+    first = rows.select("doc_id", "_row").join(found, "_row").groupBy("_group").agg(F.min(place).alias("_first"))
+    stays = keep(spark, first.select(F.col("_first._row").alias("_row")), "duplicates")
+    return rows.join(stays, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, keep(spark, found.select(F.col("doc_id").alias("_gone")).distinct(), "leaks"))
+    """Rows that hold no benchmark item; each row is judged by its own text, NULL texts stay."""
+    rows = numbered(docs, "leak-rows")
+    found = contaminated(by_row(rows), table(spark, sf_dir, "benchmark"))
+    leaks = keep(spark, found.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
+    return rows.join(leaks, "_row", "left_anti").select(*docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
