@@ -66,6 +66,9 @@ class RuleConfig:
     # also receives a halo of the rule's lookback span from the bucket before.
     city_bucket_s: int = 4 * 3600
     amount_bucket_s: int = 4 * 1200
+    # Bucket sizes of the timeline scan that carries the last rows over each boundary instead of a
+    # halo (None: halo buckets). For cards whose operations crowd into less than the lookback span.
+    carry_buckets_s: tuple[int, ...] | None = None
     # Rows up to which a dimension side is broadcast (checked by count on a
     # bounding base table). A card-chain row is ~150 bytes: 1M rows ~ 150 MB.
     broadcast_max_rows: int = 1_000_000

@@ -29,7 +29,7 @@ from cardwatch.config import (
 from cardwatch.functions.timefn import seconds_between
 from cardwatch.operators.joins import BroadcastCheck, dim_join
 from cardwatch.operators.lookback import expand_runs, runs_covering
-from cardwatch.operators.timeline import bounded_lags, halo_buckets, home_rows, lags_in_buckets
+from cardwatch.operators.timeline import bounded_lags, carried_lags, halo_buckets, home_rows, lags_in_buckets
 from cardwatch.schemas import ALERT_COLS
 
 
@@ -187,7 +187,10 @@ def city_hop_pair(tx: DataFrame, hist: DataFrame, runs: DataFrame, cfg: RuleConf
         x = home_rows(lags_in_buckets(with_terminal(timeline, hist, asof, hist_check), ["card_num"], order, lags))
     else:
         j = with_terminal(_withdrawals(tx), hist, asof, hist_check)
-        x = bounded_lags(j, ["card_num"], order, "transe_date", cfg.city_max_gap_s, cfg.city_bucket_s, lags)
+        if cfg.carry_buckets_s:
+            x = carried_lags(j, ["card_num"], order, "transe_date", lags, cfg.carry_buckets_s)
+        else:
+            x = bounded_lags(j, ["card_num"], order, "transe_date", cfg.city_max_gap_s, cfg.city_bucket_s, lags)
     x = x.withColumn("gap_s", seconds_between("transe_date", "prev_transe_date"))
     hit = (F.col("prev_city") != F.col("terminal_city")) & (F.col("gap_s") <= cfg.city_max_gap_s)
     x = runs_covering(x.filter(hit), runs, cfg.city_cut_s, "prev_transe_date", "transe_date")
@@ -236,8 +239,12 @@ def amount_guess(tx: DataFrame, runs: DataFrame, cfg: RuleConfig, amount_mode: s
         lags[f"_r{i}"] = ("oper_result", i)
         lags[f"_a{i}"] = ("amt", i)
     lags["_t_first"] = ("transe_date", n)
-    x = bounded_lags(_withdrawals(tx), ["card_num"], ["transe_date", "trans_id"], "transe_date",
-                     cfg.amount_max_span_s, cfg.amount_bucket_s, lags, bucketed=timeline)
+    order = ["transe_date", "trans_id"]
+    if cfg.carry_buckets_s and timeline is None:
+        x = carried_lags(_withdrawals(tx), ["card_num"], order, "transe_date", lags, cfg.carry_buckets_s)
+    else:
+        x = bounded_lags(_withdrawals(tx), ["card_num"], order, "transe_date",
+                         cfg.amount_max_span_s, cfg.amount_bucket_s, lags, bucketed=timeline)
     hit = (F.col("oper_result") == RESULT_SUCCESS)
     for i in range(1, n + 1):
         hit = hit & (F.col(f"_r{i}") == RESULT_REJECT)

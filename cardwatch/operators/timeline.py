@@ -69,3 +69,33 @@ def bounded_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_co
     """
     x = bucketed if bucketed is not None else halo_buckets(df, ts_col, span_s, bucket_s)
     return home_rows(lags_in_buckets(x, keys, order, lags))
+
+
+def carried_lags(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts_col: str,
+                 lags: dict[str, tuple[str, int]], buckets_s: Sequence[int]) -> DataFrame:
+    """Add lag columns ``name -> (column, offset)``, exact at any distance, with buckets of any size.
+
+    ``bounded_lags`` cannot cut a key's timeline finer than its lookback span; a key whose rows crowd into less than that
+    stays in one task. Here a bucket's rows get their lags inside the bucket, except its first n rows (n: the
+    largest offset): the rows before those are other first rows of the bucket and the last n rows of the buckets
+    before. So the first and last n rows of every bucket, 2n rows however many it holds, go through the same
+    scan once more with the next, larger bucket size, and at the end through a plain window per key. What is carried
+    over each boundary is n rows, not a span of time, and no row is copied.
+
+    ``order`` must start with ``ts_col`` and be a total order; ``buckets_s`` ascends, from the size that spreads the
+    hottest key to one that leaves few buckets a key. The rows are shuffled once, by key and bucket.
+    """
+    if not buckets_s:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({name: F.lag(c, k).over(w) for name, (c, k) in lags.items()})
+    n = max(k for _, k in lags.values())
+    x = df.withColumn(BUCKET, F.floor(epoch_seconds(ts_col) / buckets_s[0]).cast("bigint")).repartition(*keys, BUCKET)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    all_rows = Window.partitionBy(*keys, BUCKET)
+    x = x.withColumns({**{name: F.lag(c, k).over(w) for name, (c, k) in lags.items()},
+                       "_first": F.row_number().over(w), "_size": F.count(F.lit(1)).over(all_rows)})
+    inside = x.filter(F.col("_first") > n).select(*df.columns, *lags)
+    edges = x.filter((F.col("_first") <= n) | (F.col("_first") > F.col("_size") - n)).select(
+        *df.columns, (F.col("_first") <= n).alias(f"_head{len(buckets_s)}"))
+    heads = carried_lags(edges, keys, order, ts_col, lags, buckets_s[1:]).filter(f"_head{len(buckets_s)}")
+    return inside.unionByName(heads.select(*df.columns, *lags))

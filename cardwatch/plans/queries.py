@@ -8,6 +8,7 @@ DuckDB forms in ``cardwatch.plans.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +21,9 @@ from cardwatch.operators.joins import not_in
 from cardwatch.operators.lookback import expand_runs
 from cardwatch.plans.context import Inputs
 from cardwatch.schemas import (
-    BLACKLIST_FEED, FACT_COLS, HIST_COLS, TERMINAL_ATTRS, TERMINAL_SNAPSHOT, TX_TEXT_FIELDS,
+    ALERT_COLS, BLACKLIST_FEED, FACT_COLS, HIST_COLS, TERMINAL_ATTRS, TERMINAL_SNAPSHOT, TX_TEXT_FIELDS,
 )
+from cardwatch.session import checkpoint_dir
 from cardwatch.sources import feeds
 
 # Fixed query parameters (same values in the DuckDB forms).
@@ -388,6 +390,22 @@ def amount_guess_pattern(x: Inputs) -> DataFrame:
     return rules.amount_guess(x.tx, x.runs, x.cfg, "none")
 
 
+#: minutes, days, months: the finest spreads a card's crowded hour, the last leaves few buckets a card
+CARRY = (60, 86_400, 30 * 86_400)
+
+
+@query
+def city_hop_pair_carry(x: Inputs) -> DataFrame:
+    """Rule 3's pairs by the scan that carries the last row over each bucket's boundary."""
+    return rules.city_hop_pair(x.tx, x.hist, x.runs, x.cfg.with_(carry_buckets_s=CARRY), True, x.hist_check)
+
+
+@query
+def amount_guess_carry(x: Inputs) -> DataFrame:
+    """Rule 4's hits by the scan that carries the last rows over each bucket's boundary."""
+    return rules.amount_guess(x.tx, x.runs, x.cfg.with_(carry_buckets_s=CARRY), "decreasing")
+
+
 # ------------------------------------------------------------------ rules
 
 @query
@@ -468,6 +486,14 @@ def fraud_report(x: Inputs) -> DataFrame:
     return full_report(x)
 
 
+@query
+def fraud_report_export(x: Inputs) -> DataFrame:
+    """The exported report files, read back: the whole report, six columns."""
+    folder = f"{checkpoint_dir(x.spark)}/report-{uuid.uuid4().hex}"
+    report.export(full_report(x), folder, order=report.EXPORT_ORDER)
+    return report.read_export(x.spark, folder).select(*ALERT_COLS)
+
+
 @query
 def fraud_report_parity(x: Inputs) -> DataFrame:
     return full_report(x, parity=True)
