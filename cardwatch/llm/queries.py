@@ -11,6 +11,7 @@ from .phrases import op13_collocations
 from .pii import op5_pii
 from .quality import op3_quality
 from .rules import op7_quality_rules
+from .secrets import SQL as SECRETS_SQL
 from .secrets import op10_secrets
 from .simhash import op8_simhash
 from .spelling import SQL as SPELLING_SQL
@@ -23,4 +24,5 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash, op9_toxicity, op10_secrets, op11_mix_sources, op12_spelling_variants, op13_collocations)}
 
 #: the others are models, walks and packings, tested against brute force, accuracy or round trips
-SQL: dict[str, str] = {"op12_spelling_variants": SPELLING_SQL, "op13_collocations": PHRASES_SQL}
+SQL: dict[str, str] = {"op10_secrets": SECRETS_SQL, "op12_spelling_variants": SPELLING_SQL,
+                       "op13_collocations": PHRASES_SQL}

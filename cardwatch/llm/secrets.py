@@ -165,3 +165,43 @@ def report(docs: DataFrame, cfg: SecretConfig = SecretConfig()) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
+
+
+def _sql() -> str:
+    """DuckDB: matches numbered and summed up by windows, ownership by plain distinct counts."""
+    patterns = [(ASSIGN, 2), (ACCESS, 0), (HEX, 0), (PROVIDER, 0), (PEM, 0)]
+    parts = []
+    for k, (pattern, group) in enumerate(patterns):
+        p = "'" + pattern.replace("'", "''") + "'"
+        parts.append(f"SELECT row, doc_id, source, {k} AS k, string_split_regex(t, {p}) AS p, "
+                     f"regexp_extract_all(t, {p}, 0) AS m, regexp_extract_all(t, {p}, {group}) AS v FROM t "
+                     f"WHERE regexp_matches(t, {p})")
+    cuts = " UNION ALL ".join(parts)
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    cfg = SecretConfig()
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS t FROM documents),
+cuts AS ({cuts}),
+each AS (SELECT row, doc_id, source, k, i, length(p[i]) AS before, length(m[i]) AS size, v[i] AS v
+         FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM cuts)),
+placed AS (SELECT *, sum(before + size) OVER (PARTITION BY row, k ORDER BY i) AS e FROM each),
+hits AS (SELECT row, doc_id, source, k, (e - size)::BIGINT AS s, e::BIGINT AS e, v FROM placed
+         WHERE k <> 0 OR length(v) >= {ASSIGN_LEAST}),
+owned AS (SELECT v, count(DISTINCT doc_id) AS n_repos, count(DISTINCT source) AS n_owners FROM hits GROUP BY v),
+judged AS (SELECT h.*, o.n_repos, o.n_owners >= {cfg.common_owners} AS example,
+                  len(list_distinct(string_split(h.v, ''))) >= {cfg.least_distinct} AS rich
+           FROM hits h JOIN owned o ON o.v = h.v),
+per_row AS (
+  SELECT row, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg({names}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base,
+         string_agg({names}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans,
+         count(*) FILTER (NOT example AND rich) AS n_live, count(*) FILTER (example) AS n_example,
+         max(n_repos) AS max_repos
+  FROM judged GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+       coalesce(n_example, 0) AS n_example, coalesce(max_repos, 0) AS max_repos
+FROM t LEFT JOIN per_row r ON r.row = t.row"""
+
+
+SQL = _sql()

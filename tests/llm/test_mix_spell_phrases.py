@@ -37,7 +37,10 @@ WORDS = ["word", "form", "root", "n", "n_near", "form_n"]
 RANKS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-@pytest.mark.parametrize("name,cols", [("op12_spelling_variants", WORDS), ("op13_collocations", RANKS)])
+SECRETS = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example", "max_repos"]
+
+
+@pytest.mark.parametrize("name,cols", [("op10_secrets", SECRETS), ("op12_spelling_variants", WORDS), ("op13_collocations", RANKS)])
 def test_sql(spark, name, cols):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.QUERIES[name](spark, SF)
