@@ -33,10 +33,8 @@ from .common import chunks, codes_of, column, crc_mod, keep, labelled_sample, le
 class ToxicConfig:
     train_per_label: int = 4000    # bound of the training sample: documents of each label, about
     min_df: int = 4                # toxic sample rows that a feature needs at least
-    candidates: int = 20_000       # most toxic-leaning features, the commonest first
     lean: float = 2.5              # log-odds that make a feature toxic-leaning
     association: float = 16.0      # least likelihood-ratio statistic of a feature that gets a weight
-    picks: int = 2000              # most features that get a weight
     l1: float = 1e-4
     steps: int = 2000
     toxic_at: float = 0.5          # P(grade > 0) that flags a document
@@ -117,7 +115,7 @@ def grades(toxic: np.ndarray, found: np.ndarray) -> np.ndarray:
     return np.where(toxic == 1, 1 + np.searchsorted(edges, found, side="left"), 0)
 
 
-def explaining(row, col, toxic: np.ndarray, width: int, least: float, lean: float, most: int,
+def explaining(row, col, toxic: np.ndarray, width: int, least: float, lean: float,
                cover: int = 4) -> np.ndarray:
     """Columns picked one by one: the word most associated with the toxic rows that no earlier pick explains.
 
@@ -136,7 +134,7 @@ def explaining(row, col, toxic: np.ndarray, width: int, least: float, lean: floa
     def part(seen, expected):
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
 
-    while len(picked) < most:
+    while True:  # every pick explains rows of the sample, each at most ``cover`` times
         left = explained < cover
         n1 = float((left & (toxic == 1)).sum())
         if not n1:
@@ -225,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     lean = (sample.mapInArrow(count, "h long, of long, a long, b long").groupBy("h")
             .agg(F.min("of").alias("of"), F.sum("a").alias("a"), F.sum("b").alias("b"))
             .filter(F.col("a") >= cfg.min_df).filter(odds >= cfg.lean)
-            .orderBy(F.desc("a"), "h").limit(cfg.candidates).toPandas())
+            .orderBy(F.desc("a"), "h").toPandas())  # features of the bounded sample's rows
     vocab = np.sort(lean.h.to_numpy(np.int64).view(np.uint64))
     base = np.unique(lean.of.to_numpy(np.int64).view(np.uint64))
 
@@ -242,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     toxic = got.y.to_numpy(np.int64)
     row = np.repeat(np.arange(len(got)), got["at"].map(len).to_numpy(int))
     col = np.concatenate(got["at"].to_list()).astype(np.int64)
-    picked = explaining(row, col, toxic, len(vocab), cfg.association, cfg.lean, cfg.picks)
+    picked = explaining(row, col, toxic, len(vocab), cfg.association, cfg.lean)
     row, col = row[picked[col]], (np.cumsum(picked) - 1)[col[picked[col]]]
     grade = grades(toxic, np.bincount(row, minlength=len(got)))
     # a toxic row is also learned from with each of its features alone, as the mildest grade: one is enough to flag
