@@ -102,7 +102,8 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
 class Shard:
     """A shard's documents, and its units: runs of up to 32 windows of a document with one anchor."""
 
-    def __init__(self, row: dict, cfg: SubstringConfig):
+    def __init__(self, row: dict, cfg: SubstringConfig, counts: bool = True):
+        """``counts``: also in how many documents and in what variety each anchor occurs (``multi``, ``kinds``)."""
         self.id = row["shard"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.lens = np.frombuffer(row["lens"], np.int64)
@@ -138,8 +139,11 @@ class Shard:
         self.doc = np.searchsorted(self.start, at, side="right") - 1
         # a document shorter than a window may share its start with the next one
         self.keys, self.key_at = np.unique(anchor[at], return_inverse=True)
+        if not counts:
+            return
         # in how many documents, and with how many different units, an anchor occurs here
-        pair = np.unique(self.key_at * len(self.ids) + self.doc)
+        pair = np.sort(self.key_at * len(self.ids) + self.doc)
+        pair = pair[np.diff(pair, prepend=-1) != 0]
         self.multi = np.bincount(pair // len(self.ids), minlength=len(self.keys)) > 1
         shape = mix64(grams[at] ^ mix64(grams[at + n - 1 + w - cfg.gram] + n.astype(np.uint64)))
         order = np.lexsort((shape, self.key_at))
@@ -202,7 +206,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = (key << np.uint64(8)) | pad[j:j + n]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)  # ties are one group, whatever their order
 
     def first_of_group(new: np.ndarray) -> np.ndarray:
         return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
@@ -220,7 +224,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
             break
         s = sa[place]
         both = (rank[s] << 32) | (rank[np.minimum(s + h, n)] + 1)
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         sa[place] = s[order]
         both = both[order]
         new[place[1:]] |= both[1:] != both[:-1]
@@ -388,7 +392,7 @@ def dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFram
     def strings(batches):
         for r in _rows(batches):
             out = []
-            s = Shard(r, cfg)
+            s = Shard(r, cfg, counts=False)
             for b, (texts, least, users) in asked(r, s).items():
                 place, a, n, doc = np.array(users, np.int64).T
                 least = np.array(least, np.int64)
