@@ -26,10 +26,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import keep, mix64, run_hashes, runs, shuffle_partitions, table
+from .common import keep, mix64, run_hashes, runs, table
 
 COUNTS = "lang string, phrase string, c long"
 
@@ -40,7 +40,7 @@ class PhraseConfig:
     longest: int = 4               # words of a candidate, 2 to 4
     covered: int = 80              # per cent of a phrase's count in a longer one that drop it
     top: int = 2000                # phrases returned for each lang
-    slice_bytes: int = 4 << 20     # text that one vectorised step holds
+    slice_bytes: int = 2 << 20     # text that one vectorised step holds
     filter_bits: int = 1 << 27     # most bits of the pair filter
 
 
@@ -270,11 +270,9 @@ def _stream(spark: SparkSession, counts: DataFrame, order: Column, name: str) ->
     return keep(spark, s.select("lang", "phrase", "c"), name)
 
 
-def collocations(docs: DataFrame, cfg: PhraseConfig = PhraseConfig()) -> DataFrame:
-    """lang, phrase, a, l, r, n, score of all candidates that no longer one covers."""
-    spark = docs.sparkSession
-    counts = phrase_counts(docs, cfg)
-    total = counts.filter("phrase = ''").select("lang", F.col("c").alias("n"))
+def scored_phrases(counts: DataFrame, cfg: PhraseConfig = PhraseConfig()) -> DataFrame:
+    """lang, phrase, a, l, r, score of all candidates among ``counts`` that no longer one covers."""
+    spark = counts.sparkSession
     real = counts.filter("phrase <> ''")
     words = F.split("phrase", " ", -1)
     prefix = _stream(spark, real, words, "phrases-prefix")
@@ -298,24 +296,33 @@ def collocations(docs: DataFrame, cfg: PhraseConfig = PhraseConfig()) -> DataFra
     longer = inner.groupBy("lang", "phrase").agg(F.max("a").alias("longer")).hint("merge")
     open_ = F.col("longer").isNull() | (F.lit(100) * F.col("longer") < F.lit(cfg.covered) * F.col("a"))
     left_over = best.join(longer, ["lang", "phrase"], "left").filter(open_)
-    return left_over.join(total.hint("merge"), "lang").select(
-        "lang", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), "n", F.col("b.score").alias("score"))
+    return left_over.select("lang", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"), F.col("b.score").alias("score"))
 
 
 def ranked(found: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` of each lang, with their rank. A lang's parts are cut to ``top`` before they meet."""
-    from pyspark.sql import Window
+    """``found`` with the rank in its lang, the first ``top`` of each.
+
+    A lang is cut to ``top`` in 512 parts, then in 16, before it meets in one task, which so never reads more than 16
+    times ``top`` rows.
+    """
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    parts = max(8, shuffle_partitions(found.sparkSession))
-    some = found.withColumn("_p", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
-    some = some.withColumn("_r", F.row_number().over(Window.partitionBy("lang", "_p").orderBy(*order))).filter(F.col("_r") <= top)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
-    return some.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    for parts in (512, 16, 1):
+        part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+        rank = F.row_number().over(Window.partitionBy("lang", "_p").orderBy(*order)).cast("long")
+        found = found.withColumn("_p", part).withColumn("rank", rank).filter(F.col("rank") <= top)
+    return found.drop("_p")
+
+
+def collocations(docs: DataFrame, cfg: PhraseConfig = PhraseConfig()) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score of the first ``top`` phrases of each lang."""
+    counts = phrase_counts(docs, cfg)
+    total = counts.filter("phrase = ''").select("lang", F.col("c").alias("n"))
+    first = ranked(scored_phrases(counts, cfg), cfg.top)
+    return first.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = PhraseConfig()
-    return ranked(collocations(table(spark, sf_dir, "documents"), cfg), cfg.top)
+    return collocations(table(spark, sf_dir, "documents"))
 
 
 #: DuckDB: all phrases of one to four words, counted plainly
