@@ -38,9 +38,9 @@ class MixConfig:
     weights: tuple[int, ...] = (5, 2, 1)
     share: float = 1.5             # of all tokens
     most: int = 2                  # copies of a document
-    gap: float = 1e-9              # largest gap of a source's tokens to its target, relative
+    gap: float = 1e-7              # largest gap of a source's tokens to its target, relative
     rounds: int = 200              # Newton steps; the bracket alone halves within them
-    bucket: int = 20_000           # groups of rows rounded together, about
+    bucket: int = 2_000            # groups of rows rounded together, about
 
 
 def sized(docs: DataFrame) -> DataFrame:
