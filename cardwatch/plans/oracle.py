@@ -273,6 +273,13 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "feed_pending": (("routed",), "SELECT * FROM routed WHERE file_name NOT IN "
                                   "(SELECT file_name FROM routed WHERE file_date < DATE '2024-01-15')"),
     "tx_text_normalize": (("tx",), "SELECT trans_id, transe_date, card_num, opertype, amt, oper_result, terminal FROM tx"),
+    "feed_refused": (("runs",), """
+SELECT 'report_' || d || '.txt' AS file_name, CAST(NULL AS VARCHAR) AS feed, run_date AS file_date,
+       'unknown prefix' AS reject_reason FROM (SELECT run_date, strftime(run_date, '%d%m%Y') AS d FROM runs)
+UNION ALL SELECT 'transactions_x' || strftime(run_date, '%d%m%Y') || '.txt', 'transactions', NULL, 'no date in name' FROM runs
+UNION ALL SELECT 'terminals_' || strftime(run_date, '%d%m%Y') || '.xlsx', 'terminals', run_date, 'unreadable file type' FROM runs
+UNION ALL SELECT 'passport_blacklist_' || strftime(run_date, '%d%m%Y') || '.csv.gz', 'passport', NULL, 'no date in name'
+FROM runs"""),
     "tx_rejects": (("tx_bad",), "SELECT * FROM tx_bad WHERE reject_reason IS NOT NULL"),
     "blacklist_rejects": (("bl_bad",), "SELECT * FROM bl_bad"),
     "terminal_rejects": (("term_bad",), "SELECT * FROM term_bad"),

@@ -76,6 +76,19 @@ def feed_pending(x: Inputs) -> DataFrame:
     return b.join(manifest, "file_name", "left_anti")
 
 
+@query
+def feed_refused(x: Inputs) -> DataFrame:
+    """Files that the load refuses, with the reason, among each day's good, hidden, foreign and undated ones."""
+    day = F.date_format("file_date", "ddMMyyyy")
+    names = F.array(*[F.concat(F.lit(a), day, F.lit(b)) for a, b in (
+        ("transactions_", ".txt"), (".transactions_", ".txt"), ("_tmp_", ".txt"), ("report_", ".txt"),
+        ("transactions_x", ".txt"), ("terminals_", ".xlsx"), ("terminals_", ".csv"), ("passport_blacklist_", ".csv.gz"))])
+    days = x.tx.select("file_date").distinct()
+    files = days.select(F.explode(names).alias("name")).select(
+        F.concat(F.lit("inbox/"), F.col("name")).alias("path"), F.lit(1).alias("length"), F.lit(None).alias("modificationTime"))
+    return feeds.classify(files).filter("reject_reason is not null").select("file_name", "feed", "file_date", "reject_reason")
+
+
 def _tx_source(x: Inputs) -> dict:
     """A transaction's text fields in source order; decimal comma on every third id."""
     amt = F.col("amt").cast("string")

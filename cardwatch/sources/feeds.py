@@ -19,10 +19,7 @@ from cardwatch.schemas import BLACKLIST_FEED, FACT_COLS, TERMINAL_SNAPSHOT, TX_T
 
 
 def route(names: DataFrame) -> DataFrame:
-    """``names`` (file_name) with the feed its prefix names, its batch date and its place among a day's feeds.
-
-    Hidden files (a name that starts with a dot or an underscore) have no feed; Spark's own file listing skips them.
-    """
+    """``names`` (file_name) with the feed its prefix names, its batch date and its place among a day's feeds."""
     order = F.array_position(F.array(*[F.lit(p) for p in FEED_PREFIXES]), F.col("feed")).cast("int")
     return names.withColumn("feed", feed_of_file_name("file_name")).withColumn(
         "file_date", date_from_file_name("file_name")).withColumn("feed_order", order)
@@ -37,9 +34,13 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def classify(found: DataFrame) -> DataFrame:
-    """File metadata (the binaryFile columns) -> name, feed, batch date, order, and a reason when unusable."""
+    """File metadata (the binaryFile columns) -> name, feed, batch date, order, and a reason when unusable.
+
+    Hidden files (a name that starts with a dot or an underscore) are no feed files and leave no trace.
+    """
     out = route(found.select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
                              F.col("length"), F.col("modificationTime")))
+    out = out.filter(~F.col("file_name").rlike(r"^[._]"))
     reason = F.when(F.col("feed").isNull(), "unknown prefix").when(F.col("file_date").isNull(), "no date in name")
     # passport and terminal feeds come as CSV or Parquet; anything else must not pass as an empty feed
     table_feed = F.col("feed").isin("passport", "terminals")
