@@ -69,28 +69,6 @@ def test_toxicity_learns_words_of_few_toxic_rows(spark):
     assert sev[1] > sev[2]
 
 
-def test_stream_does_not_read_contents(spark, tmp_path):
-    """Files over binaryFile.maxLength can only pass if their content is not read."""
-    from cardwatch.streaming import feed_stream
-    inbox = tmp_path / "in"
-    inbox.mkdir()
-    (inbox / "transactions_01012024.txt").write_text("h\n" * 50)
-    seen = []
-
-    class Loader:
-        def load_files(self, folder, found):
-            seen.extend(r["file_name"] for r in found.collect())
-
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
-    try:
-        q = feed_stream.start(spark, Loader(), str(inbox), query_name="t_names", checkpoint=str(tmp_path / "ckpt"))
-        q.awaitTermination(60)
-        assert q.exception() is None
-    finally:
-        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
-    assert seen == ["transactions_01012024.txt"]
-
-
 def test_rules_padded_lines_fail_like_unpadded(spark):
     bad = ["read more", "Home menu"]
     rows = [(i, f"{line}{pad}") for i, (line, pad) in enumerate((x, p) for x in bad for p in ("", " " * 10, "\t" * 9))]
