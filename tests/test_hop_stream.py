@@ -1,4 +1,5 @@
-"""Rule 3 on a stream: three micro-batches with late rows equal the batch plan, and the state is dropped."""
+"""Rule 3 on a stream: three micro-batches with late rows equal the batch plan, and the state is dropped; the feed stream
+reads names only."""
 
 import os
 import random
@@ -66,6 +67,28 @@ def test_stream_equals_batch_with_late_rows(spark, scratch, small_shuffles):
     assert max(states[0]) > 5 and all(n <= 2 for n in states[-1])   # only the last marker row is left
 
 
+def test_stream_does_not_read_contents(spark, tmp_path):
+    """Files over binaryFile.maxLength can only pass if their content is not read."""
+    from cardwatch.streaming import feed_stream
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "transactions_01012024.txt").write_text("h\n" * 50)
+    seen = []
+
+    class Loader:
+        def load_files(self, folder, found):
+            seen.extend(r["file_name"] for r in found.collect())
+
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        q = feed_stream.start(spark, Loader(), str(inbox), query_name="t_names", checkpoint=str(tmp_path / "ckpt"))
+        q.awaitTermination(60)
+        assert q.exception() is None
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert seen == ["transactions_01012024.txt"]
+
+
 def _last(q):
     class Op:
         def __init__(self, o):
