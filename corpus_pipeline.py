@@ -43,9 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = cluster(by_row(rows), SimHashConfig(shingle=3, max_bits=3)).select(
         F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
-    first = rows.select("doc_id", "_row").join(found, "_row").groupBy("_group").agg(F.min(place).alias("_first"))
-    stays = keep(spark, first.select(F.col("_first._row").alias("_row")), "duplicates")
-    return rows.join(stays, "_row", "left_semi").select(*docs.columns)
+    grouped = rows.select("doc_id", "_row").join(found, "_row")
+    first = grouped.groupBy("_group").agg(F.min(place).alias("_first"))
+    # the rows that go are few beside those that stay, so the texts need not move for them
+    gone = grouped.join(first, "_group").filter(F.col("_row") != F.col("_first._row")).select("_row")
+    return rows.join(keep(spark, gone, "duplicates"), "_row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
