@@ -27,7 +27,7 @@ from cardwatch.config import (
     RESULT_SUCCESS, RuleConfig, Semantics,
 )
 from cardwatch.functions.timefn import seconds_between
-from cardwatch.operators.joins import BroadcastCheck, dim_join
+from cardwatch.operators.joins import BroadcastCheck, dim_join, may_join
 from cardwatch.operators.lookback import expand_runs, runs_covering
 from cardwatch.operators.timeline import bounded_lags, carried_lags, halo_buckets, home_rows, lags_in_buckets
 from cardwatch.schemas import ALERT_COLS
@@ -53,9 +53,25 @@ def listed_passport(bl_entry_dt: Column, batch_day: Column) -> Column:
     return F.coalesce(bl_entry_dt <= batch_day, F.lit(False))
 
 
-def batch_joined(tx: DataFrame, chain_bl: DataFrame, chain_check: BroadcastCheck | bool | None = None) -> DataFrame:
-    """Operations of every batch joined to the card chain (one join for rules 1 and 2)."""
+def may_alert(chain_bl: DataFrame, tx: DataFrame) -> DataFrame:
+    """Cards of the chain that rules 1 and 2 can raise at all: a passport, contract or list entry dated by the last
+    day of ``tx`` (its last operation or batch day). Every hit of the two rules implies this."""
+    last = tx.agg(F.max(F.greatest(F.to_date("transe_date"), "file_date")).alias("d")).scalar()
+    return chain_bl.filter((F.col("passport_valid_to") <= last) | (F.col("valid_to") <= last)
+                           | (F.col("bl_entry_dt") <= last))
+
+
+def batch_joined(tx: DataFrame, chain_bl: DataFrame, chain_check: BroadcastCheck | bool | None = None,
+                 alerts_only: bool = False) -> DataFrame:
+    """Operations of every batch joined to the card chain (one join for rules 1 and 2).
+
+    ``alerts_only``: rows that neither rule can raise may be missing. When the chain is too large for a broadcast,
+    both sides of the shuffle join are then cut to the cards that can alert, the operations by a Bloom filter.
+    """
     t = tx.select("trans_id", "card_num", "transe_date", "file_date")
+    if alerts_only and not (chain_check.ok if isinstance(chain_check, BroadcastCheck) else chain_check):
+        chain_bl = may_alert(chain_bl, t)
+        t = may_join(t, chain_bl.select("card_num"), "card_num")
     return dim_join(t, chain_bl, "card_num", check=chain_check)
 
 

@@ -91,10 +91,11 @@ class Inputs:
 
     @cached_property
     def hist_check(self) -> BroadcastCheck:
-        """Each snapshot row opens at most one version and one tombstone."""
+        """Each snapshot row opens at most one version and one tombstone; beyond that bound the history is counted."""
         return BroadcastCheck(self.snap.select("terminal_id"), self.cfg.broadcast_max_rows, factor=2,
-                              stats_key=(self.sf_dir, "snap") if self.sf_dir else None)
+                              stats_key=(self.sf_dir, "snap") if self.sf_dir else None,
+                              exact=self.hist.select("terminal_id"))
 
-    def batch_joined(self) -> DataFrame:
+    def batch_joined(self, alerts_only: bool = True) -> DataFrame:
         from cardwatch.operators import rules
-        return rules.batch_joined(self.tx, self.chain_bl, self.chain_check)
+        return rules.batch_joined(self.tx, self.chain_bl, self.chain_check, alerts_only)

@@ -204,7 +204,7 @@ def client_fio(x: Inputs) -> DataFrame:
 
 @query
 def client_chain(x: Inputs) -> DataFrame:
-    j = x.batch_joined()
+    j = x.batch_joined(alerts_only=False)
     return j.select("trans_id", "card_num", "client_id", "passport_num", "fio", "bl_entry_dt")
 
 
@@ -473,7 +473,7 @@ def fraud_last_run(x: Inputs) -> DataFrame:
     last = _last(x, x.tx, "file_date", "tx")
     runs = x.spark.createDataFrame([(last,)], "run_date date")
     staged = x.tx.filter(F.col("file_date") == F.lit(last))
-    pc = rules.passport_contract_alerts(rules.batch_joined(staged, x.chain_bl, x.chain_check), x.cfg.report_dt)
+    pc = rules.passport_contract_alerts(rules.batch_joined(staged, x.chain_bl, x.chain_check, True), x.cfg.report_dt)
     recent = slice_of_run(x.tx, last, min(x.cfg.city_cut_s, x.cfg.amount_cut_s)).drop("run_date")
     both = rules.city_amount_alerts(recent, x.hist, runs, x.chain_bl, x.cfg, x.chain_check, x.cfg.report_dt,
                                     x.hist_check)

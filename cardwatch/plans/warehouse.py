@@ -297,7 +297,7 @@ class Warehouse:
             chain = dims.card_chain(self.cards(), self.accounts(), self.clients())
             chain_check = BroadcastCheck(self.cards().select("card_num"), cfg.broadcast_max_rows)
             chain_bl = dims.with_blacklist(chain, self.blacklist())
-            joined = rules.batch_joined(self.fact([day]), chain_bl, chain_check)
+            joined = rules.batch_joined(self.fact([day]), chain_bl, chain_check, True)
             pc = rules.passport_contract_alerts(joined, cfg.report_dt)
             hist = self.terminals_history()
             if cfg.semantics == Semantics.PARITY and any(d > day for d in self.days("open")):

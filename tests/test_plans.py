@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.config import DEFAULT
 from cardwatch.operators import rules
+from cardwatch.operators.joins import BroadcastCheck, may_join
 from cardwatch.operators.lookback import slice_of_run
 from cardwatch.plans.context import Inputs
 from conftest import SF0001
@@ -53,6 +54,35 @@ def test_chain_broadcast_only_under_the_bound(spark):
     assert any("card_num" in k for k in exchanges(big))
 
 
+def test_above_the_bound_rules_1_2_filter_the_fact_before_it_moves(spark):
+    x, y = Inputs(spark, SF0001), Inputs(spark, SF0001, DEFAULT.with_(broadcast_max_rows=1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(y.batch_joined())
+        assert "bitmap_construct_agg" in p and p.count("LeftSemi BuildRight") >= 2  # two bits a key, broadcast
+        for rule in (rules.passport_alerts, rules.contract_alerts, rules.passport_contract_alerts):
+            want = sorted(map(str, rule(x.batch_joined(), dt.date(2024, 2, 1)).collect()))
+            assert want and sorted(map(str, rule(y.batch_joined(), dt.date(2024, 2, 1)).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_filter_loses_no_key_and_drops_most_others(spark):
+    keys = spark.range(0, 3000).select((F.col("id") * 7).alias("k")).union(spark.sql("select cast(null as bigint)"))
+    fact = spark.range(0, 21000).withColumnRenamed("id", "k")
+    got = {r["k"] for r in may_join(fact, keys, "k").collect()}
+    assert got >= set(range(0, 21000, 7)) and len(got) < 3010  # 6000 of 2 ** 27 bits are set
+    small = {r["k"] for r in may_join(fact, keys, "k", 1 << 15).collect()}
+    assert small >= set(range(0, 21000, 7)) and len(small) < 5000
+    assert may_join(fact, keys.limit(0), "k").count() == 0
+
+
+def test_broadcast_check_counts_the_dimension_where_its_bound_is_loose(spark):
+    ten, three = spark.range(10), spark.range(3)
+    assert not BroadcastCheck(ten, 4).ok
+    assert BroadcastCheck(ten, 4, exact=three).ok and not BroadcastCheck(ten, 2, exact=three).ok
+
+
 def test_rules_1_2_share_one_join(spark):
     x = Inputs(spark, SF0001)
     p = plan(rules.passport_contract_alerts(x.batch_joined(), dt.date(2024, 2, 1)))
