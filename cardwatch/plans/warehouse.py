@@ -327,10 +327,11 @@ class Warehouse:
         """Load every pending feed file of ``folder`` day by day; returns the days loaded."""
         return self.load_files(folder, feeds.discover(self.spark, folder))
 
-    def load_files(self, folder: str, found: DataFrame) -> list[_dt.date]:
+    def load_files(self, folder: str, found: DataFrame, archive: str | None = None) -> list[_dt.date]:
         """Load the usable files of ``found`` (see ``feeds.classify``) that the log lacks, day by day.
 
-        Files that cannot be used are recorded once, with the reason.
+        Files that cannot be used are recorded once, with the reason. ``archive``: where loaded files may have been
+        moved to, in any depth.
         """
         seen = {(r["file_name"], r["reason"]) for r in self.refused().select("file_name", "reason").collect()}
         bad = found.filter(F.col("reject_reason").isNotNull())
@@ -343,10 +344,10 @@ class Warehouse:
         # the file list is metadata (one row per file), not data
         days = sorted({p[0] for p in plan})
         for day in days:
-            self.load_day(folder, day, [p for p in plan if p[0] == day])
+            self.load_day(folder, day, [p for p in plan if p[0] == day], archive)
         return days
 
-    def load_day(self, folder: str, day: _dt.date, files: list[tuple]) -> None:
+    def load_day(self, folder: str, day: _dt.date, files: list[tuple], archive: str | None = None) -> None:
         """One day's files, as one commit."""
         by_feed: dict[str, list[str]] = {}
         for _, _, feed, name in sorted(files, key=lambda p: (p[1], p[3])):
@@ -354,11 +355,12 @@ class Warehouse:
         # a day is written anew from all its files, so a further file of a loaded day adds to it
         before = {r["file_name"]: r["feed"] for r in self.manifest().filter(F.col("file_date") == F.lit(day)).collect()}
         fresh = [(n, f, day, None) for f, names in by_feed.items() for n in names if n not in before]
-        for name, feed in sorted(before.items()):
-            if feed in by_feed and name not in by_feed[feed]:
-                by_feed[feed].append(name)
+        earlier = sorted(n for n, f in before.items() if f in by_feed and n not in by_feed[f])
+        for name in earlier:
+            by_feed[before[name]].append(name)
         # read exactly this day's files: the folder keeps every earlier file as well
-        files_of = {f: [f"{folder.rstrip('/')}/{n}" for n in names] for f, names in by_feed.items()}
+        moved = feeds.named(self.spark, archive, earlier) if archive and earlier else {}
+        files_of = {f: [moved.get(n, f"{folder.rstrip('/')}/{n}") for n in names] for f, names in by_feed.items()}
         with self._load() as commit:
             anew = self._affected(day, by_feed)
             keep_null = self.cfg.semantics == Semantics.PARITY

@@ -48,6 +48,18 @@ def classify(found: DataFrame) -> DataFrame:
     return out.withColumn("reject_reason", reason)
 
 
+def named(spark: SparkSession, folder: str, names: list[str]) -> dict[str, str]:
+    """Paths of the files with these names below ``folder``, in any depth; those that are not there are left out."""
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", "{" + ",".join(names) + "}").load(folder).select("path"))
+    except AnalysisException as e:  # nothing has been moved yet
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["path"].rsplit("/", 1)[-1]: r["path"] for r in files.collect()}  # a day's files
+
+
 def pending(discovered: DataFrame, manifest: DataFrame | None) -> DataFrame:
     """Usable files not yet recorded in the manifest (by file name), in batch order."""
     ok = discovered.filter(F.col("reject_reason").isNull())
