@@ -1,5 +1,6 @@
 """The training-data operators: brute force, held-out accuracy and the defined results of edge cases."""
 
+import os
 import random
 import re
 import sys
@@ -147,6 +148,42 @@ def test_suffix_array_and_prefixes():
             assert lcp[r] == next((i for i, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y)))
 
 
+def test_suffix_array_zeros_at_the_end():
+    for b in (b"\0\0", b"ab\0ab\0\0\0", bytes(40)):
+        assert substrings.suffix_array(np.frombuffer(b, np.uint8)).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+
+
+def test_prefixes_of_some_suffixes():
+    rng = np.random.default_rng(2)
+    for n in (1, 60, 700):
+        data = rng.integers(0, 2, n).astype(np.uint8)
+        data[n // 2:] = data[:n - n // 2]  # long common prefixes
+        b = data.tobytes()
+        sa = substrings.suffix_array(data)
+        for some in (sa, sa[rng.random(n) < 0.7], sa[sa % 100 < 60]):
+            for lanes in (3, 4096):
+                got = substrings.kasai(data, some, 50, lanes).tolist()
+                assert got == [0] * min(len(some), 1) + [
+                    len(os.path.commonprefix([b[i:i + 50], b[j:j + 50]])) for i, j in zip(some[:-1], some[1:])]
+
+
+def test_prefixes_of_windows_only(monkeypatch):
+    """A string of 60 bytes has 11 windows of 50; the walk leaves its other 49 suffixes out."""
+    walked, kasai = [], substrings.kasai
+    monkeypatch.setattr(substrings, "kasai", lambda data, sa, cap: walked.append(len(sa)) or kasai(data, sa, cap))
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"ab", k=60)) for _ in range(20)]
+    low = substrings.smallest_docs([*texts, texts[0] + b"!"], np.arange(21, 0, -1), substrings.SubstringConfig())
+    assert walked == [20 * 11 + 12]
+    assert low.tolist() == [1] * 11 + [d for d in range(20, 1, -1) for _ in range(11)] + [1] * 12
+
+
+def test_substrings_zeros_at_the_end(spark):
+    rows = [(1, "ab" * 40 + "\0" * 3), (2, "ab" * 40 + "\0" * 3), (3, "\0" * 120), (4, None)]
+    got = tuples(substrings.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(got) == sorted(brute.removed_substrings(rows))
+
+
 @pytest.mark.parametrize("cfg", [
     substrings.SubstringConfig(shard_bytes=2000, block_bytes=1500, bucket_bytes=4000),
     substrings.SubstringConfig(shard_bytes=3000, block_bytes=700, hot=1)])
