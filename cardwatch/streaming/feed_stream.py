@@ -30,7 +30,7 @@ MOVERS = "spark.sql.streaming.fileSource.cleaner.numThreads"
 
 def _process(wh: Warehouse, folder: str, archive: str | None):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        wh.load_files(folder, feeds.classify(batch), archive)
+        wh.load_files(folder, feeds.classify(batch), *[archive] * bool(archive))
     return run
 
 
